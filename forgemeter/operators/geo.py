@@ -11,64 +11,63 @@ the join from their measured size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import functools
+import json
+
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import clean_location_strict, country_key
 
 
 # ---- regions ---------------------------------------------------------------------------------
-def _region_table(spark: SparkSession, text: str) -> DataFrame:
-    return spark.createDataFrame(V.by_group(text), "country_code string, region string")
-
-
-def region_of_country(df: DataFrame, code: str, view: str = "world", into: str = "region") -> DataFrame:
-    """Adds the region of a country code; null for codes the view does not know.
+def region_of(code: Column, view: str = "world") -> Column:
+    """Region of a country code; null for codes the view does not know.
 
     ``world`` has Middle East and Central America and upper-cases the code first; ``continent``
     follows continents and takes the code as it is.
     """
-    text, key = (
-        (V.WORLD_REGIONS, country_key(F.col(code)))
-        if view == "world"
-        else (V.CONTINENTS, F.col(code))
-    )
-    regions = _region_table(df.sparkSession, text).select(
-        F.col("country_code").alias("_code"), F.col("region").alias(into)
-    )
-    return df.withColumn("_key", key).join(
-        F.broadcast(regions), F.col("_key") == F.col("_code"), "left"
-    ).drop("_key", "_code")
+    text, key = (V.WORLD_REGIONS, country_key(code)) if view == "world" else (V.CONTINENTS, code)
+    regions = F.from_json(F.lit(json.dumps(dict(V.by_group(text)))), "map<string,string>")
+    return F.try_element_at(regions, key)
+
+
+def region_of_country(df: DataFrame, code: str, view: str = "world", into: str = "region") -> DataFrame:
+    return df.withColumn(into, region_of(F.col(code), view))
 
 
 # ---- rules -----------------------------------------------------------------------------------
+# Rule lists are constants of the plan: they fold to one literal, need no join, and are only
+# walked for distinct texts.
+def _words(text: str, separator: str | None = None) -> Column:
+    return F.split(F.lit("|".join(V.words(text, separator))), r"\|")
+
+
 def _rule_rows(rows: list[tuple[str, str]]) -> Column:
-    return F.array(
-        *[F.struct(F.lit(name).alias("name"), F.lit(code).alias("code")) for name, code in rows]
-    )
+    text = json.dumps([{"name": name, "code": code} for name, code in rows])
+    return F.from_json(F.lit(text), "array<struct<name: string, code: string>>")
 
 
-def _first_code(rules: Column, hit) -> Column:
-    return F.get(F.filter(rules, hit), F.lit(0)).getField("code")
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, not once per rule."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _as_phrase(text: Column) -> Column:
-    """Text between spaces, so that ``contains(' name ')`` matches whole words only."""
-    return F.concat(F.lit(" "), text, F.lit(" "))
+def _first_code(rules: Column, hit) -> Column:
+    return F.get(F.filter(rules, hit), F.lit(0)).getField("code")
 
 
-def _first_group(text: Column, pattern: str, groups: int) -> Column:
-    parts = [F.regexp_extract(text, pattern, n) for n in range(1, groups + 1)]
-    return F.coalesce(*[F.when(part != "", part) for part in parts])
+def _phrase(text):
+    """Text between spaces, so that containing ``' name '`` means whole words only."""
+    return f" {text} " if isinstance(text, str) else F.concat(F.lit(" "), F.lower(text), F.lit(" "))
 
 
 def coded_country(text: Column) -> Column:
     """Two capital letters in brackets or at the end, where they are a known country code."""
-    known = [code for code, _ in V.by_group(V.WORLD_REGIONS)]
-    code = _first_group(
-        F.upper(text), r"\(([A-Z]{2})\)|\s([A-Z]{2})$|,\s*([A-Z]{2})$", 3
-    )
-    return F.when(code.isin(*known), code)
+    known = _words(" ".join(code for code, _ in V.by_group(V.WORLD_REGIONS)))
+    code = F.regexp_extract(F.upper(text), r"(?<=\()[A-Z]{2}(?=\))|(?<=[\s,])[A-Z]{2}$", 0)
+    return F.when(F.array_contains(known, code), code)
 
 
 def named_country(text: Column) -> Column:
@@ -76,21 +75,16 @@ def named_country(text: Column) -> Column:
 
     The whole text, a text ending in ", name" and "the name" are all cases of this one.
     """
-    phrase = _as_phrase(F.lower(text))
-    return _first_code(
-        _rule_rows(V.pairs(V.COUNTRY_NAMES)), lambda rule: phrase.contains(_as_phrase(rule["name"]))
-    )
+    rules = _rule_rows([(_phrase(name), code) for name, code in V.pairs(V.COUNTRY_NAMES)])
+    return _let(_phrase(text), lambda t: _first_code(rules, lambda rule: t.contains(rule["name"])))
 
 
 def us_state(text: Column) -> Column:
     """``US`` where a state name stands in the text, or a state code ends it."""
-    phrase = _as_phrase(F.lower(text))
-    names = F.array(*[F.lit(state) for state in V.words(V.US_STATES, ",")])
-    code = F.lower(_first_group(text, r",\s*([A-Za-z]{2})$|\s+([A-Za-z]{2})$", 2))
-    hit = F.exists(names, lambda name: phrase.contains(_as_phrase(name))) | code.isin(
-        *V.words(V.US_STATE_CODES)
-    )
-    return F.when(hit, F.lit("US"))
+    names = F.transform(_words(V.US_STATES, ","), lambda name: F.concat(F.lit(" "), name, F.lit(" ")))
+    code = F.lower(F.regexp_extract(text, r"(?<=[\s,])[A-Za-z]{2}$", 0))
+    named = _let(_phrase(text), lambda t: F.exists(names, lambda name: t.contains(name)))
+    return F.when(named | F.array_contains(_words(V.US_STATE_CODES), code), F.lit("US"))
 
 
 def default_cities() -> list[tuple[str, str]]:
@@ -103,12 +97,14 @@ def default_cities() -> list[tuple[str, str]]:
 
 def default_city(text: Column) -> Column:
     """Country of the first built-in city the text equals or starts with."""
-    lowered = F.lower(text)
-    closed = F.concat(lowered, F.lit(" "))
-    return _first_code(
-        _rule_rows(default_cities()),
-        lambda rule: closed.startswith(F.concat(rule["name"], F.lit(" ")))
-        | lowered.startswith(F.concat(rule["name"], F.lit(","))),
+    rules = _rule_rows(default_cities())
+    return _let(
+        F.concat(F.lower(text), F.lit(" ")),
+        lambda t: _first_code(
+            rules,
+            lambda rule: t.startswith(rule["name"])
+            & F.substring(t, F.length(rule["name"]) + 1, F.lit(1)).isin(" ", ","),
+        ),
     )
 
 
@@ -259,19 +255,30 @@ def lookup_locations(df: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 # ---- full location info ----------------------------------------------------------------------
-def iso_countries(spark: SparkSession) -> DataFrame:
-    """(key, country_code) for lower-cased ISO 3166 names, two- and three-letter codes.
-
-    Codes come from the JVM's own country list; only names that differ are listed by hand.
-    """
-    locale = spark.sparkContext._jvm.java.util.Locale
+@functools.cache
+def _iso_rows() -> str:
+    locale = SparkContext._active_spark_context._jvm.java.util.Locale
     rows = []
     for code in locale.getISOCountries():
         country = locale("", code)
         name = V.ISO_NAMES.get(code) or country.getDisplayCountry(locale.ENGLISH)
-        rows.append((name.lower(), code, 1))
-        rows += [(key.lower(), code, 2) for key in (code, country.getISO3Country())]
-    return spark.createDataFrame(rows, "key string, iso_country string, stage int")
+        keys = [(name, 1), (code, 2), (country.getISO3Country(), 2)]
+        rows += [{"key": key.lower(), "iso_country": code, "stage": stage} for key, stage in keys]
+    return json.dumps(rows)
+
+
+def _inline(spark: SparkSession, rows: str, schema: str) -> DataFrame:
+    """A small constant table from JSON text."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), f"array<struct<{schema}>>")))
+
+
+def iso_countries(spark: SparkSession) -> DataFrame:
+    """(key, iso_country, stage) for lower-cased ISO 3166 names (stage 1) and two- and
+    three-letter codes (stage 2).
+
+    Codes come from the JVM's own country list; only names that differ are listed by hand.
+    """
+    return _inline(spark, _iso_rows(), "key: string, iso_country: string, stage: int")
 
 
 def location_info(locations: DataFrame, countries: DataFrame | None = None) -> DataFrame:
@@ -285,13 +292,13 @@ def location_info(locations: DataFrame, countries: DataFrame | None = None) -> D
     texts = locations.select(
         "location", F.lower(F.trim(F.regexp_replace("location", r"(?U)^\s+|\s+$", ""))).alias("text")
     ).withColumn("tail", last_part(F.col("text")))
-    places = spark.createDataFrame(
-        V.PLACED_CITIES,
-        "city string, city_country string, city_region string, city_lat double, city_lon double",
-    )
-    continents = spark.createDataFrame(
-        list(V.CONTINENT_NAMES.items()), "continent string, continent_region string"
+    fields = ["city", "city_country", "city_region", "city_lat", "city_lon"]
+    places = _inline(
+        spark,
+        json.dumps([dict(zip(fields, row)) for row in V.PLACED_CITIES]),
+        "city: string, city_country: string, city_region: string, city_lat: double, city_lon: double",
     )
+    continent_of = F.from_json(F.lit(json.dumps(V.CONTINENT_NAMES)), "map<string,string>")
     by_text = iso.groupBy("key").agg(F.min_by("iso_country", "stage").alias("iso_country"))
     whole = by_text.select(F.col("key").alias("text"), F.col("iso_country").alias("whole_country"))
     tail = by_text.select(F.col("key").alias("tail"), F.col("iso_country").alias("tail_country"))
@@ -299,11 +306,11 @@ def location_info(locations: DataFrame, countries: DataFrame | None = None) -> D
         texts.join(whole, "text", "left")
         .join(tail, "tail", "left")
         .join(F.broadcast(places), F.col("text") == F.col("city"), "left")
-        .join(F.broadcast(continents), F.col("text") == F.col("continent"), "left")
+        .withColumn("continent_region", F.try_element_at(continent_of, F.col("text")))
     )
     known = F.col("whole_country").isNotNull()
     placed = ~known & F.col("city").isNotNull()
-    continent = ~known & ~placed & F.col("continent").isNotNull()
+    continent = ~known & ~placed & F.col("continent_region").isNotNull()
     staged = found.select(
         "location",
         F.when(known, F.col("whole_country"))

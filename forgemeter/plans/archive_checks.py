@@ -245,7 +245,7 @@ def upsert_country_yearly_stats(spark, sf_dir):
 
 # ---- exports -----------------------------------------------------------------------------------------
 def _csv(spark, path, schema):
-    return spark.read.csv(path, header=True, schema=schema, emptyValue="")
+    return spark.read.csv(path, header=True, schema=schema)
 
 
 ORG_CSV = """`Jahr` BIGINT, `Organization` STRING, `Location` STRING, `Country` STRING, `Region` STRING,
@@ -264,16 +264,11 @@ COUNTRY_EXPORT_SQL = """SELECT year AS "Jahr", country_code AS "Country", region
   FROM country_yearly_stats"""
 
 
-def _read_org_export(spark, path):
-    rows = _csv(spark, path, ORG_CSV)
-    return rows.withColumn("Location", F.nullif("Location", F.lit("")))
-
-
 @check("export_org_stats", ORG_EXPORT_SQL)
 def export_org_stats(spark, sf_dir):
     path = fresh_path(spark, "organization_stats.csv")
     K.export_org_stats(organization_statistics(spark, sf_dir), S.organizations(spark, sf_dir), path)
-    return _read_org_export(spark, path)
+    return _csv(spark, path, ORG_CSV)
 
 
 @check("export_country_stats", COUNTRY_EXPORT_SQL)
@@ -308,8 +303,8 @@ def export_stats_bundle(spark, sf_dir):
 
 # ---- streaming -----------------------------------------------------------------------------------------
 def _event_stream(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    return I.file_stream(spark, path, spark.read.parquet(path).schema)
+    schema = S.table(spark, sf_dir, "events").schema
+    return I.file_stream(spark, f"{sf_dir}/events*.parquet", schema)
 
 
 RECENT_SQL = """SELECT id, strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, actor_id, repo_id,
@@ -340,8 +335,8 @@ def stream_dedupe(spark, sf_dir):
 
 @check("stream_org_upsert", f"SELECT year, organization_login, {STAT_COLUMNS} FROM org_stats")
 def stream_org_upsert(spark, sf_dir):
-    path = f"{sf_dir}/lineitem.parquet"
-    lines = I.file_stream(spark, path, spark.read.parquet(path).schema)
+    schema = S.table(spark, sf_dir, "lineitem").schema
+    lines = I.file_stream(spark, f"{sf_dir}/lineitem*.parquet", schema)
     archive, stats = fresh_path(spark, "stream-archive"), fresh_path(spark, "stream-stats")
     I.stream_org_upsert(
         S.archive_events(spark, sf_dir, lines), archive, stats, fresh_path(spark, "stream-state"), *YEARS

@@ -315,8 +315,8 @@ def month_thirds(spark, sf_dir):
        SELECT CAST(s AS VARCHAR) AS period_start, CAST(least(s + 5, DATE '1997-12-31') AS VARCHAR) AS period_end,
               count(r.id) AS repositories
        FROM p LEFT JOIN repositories r
-         ON CAST(created_at AS DATE) >= s AND (CAST(created_at AS DATE) < s + 5)
-        AND CAST(created_at AS DATE) <= DATE '1997-12-31'
+         ON CAST(created_at AS DATE) >= s AND CAST(created_at AS DATE) <= DATE '1997-12-31'
+        AND (CAST(created_at AS DATE) < s + 5 OR s + 5 >= DATE '1997-12-31')
        WHERE s < DATE '1997-12-31' GROUP BY s""",
 )
 def adaptive_periods(spark, sf_dir):

@@ -580,7 +580,7 @@ def commits_last_year(spark, sf_dir):
 # ---- exports ---------------------------------------------------------------------------------------------
 @check(
     "export_table_csv",
-    """SELECT id, full_name, language, stargazers_count, CAST(CAST(created_at AS DATE) AS VARCHAR) AS created_at
+    """SELECT id, full_name, nullif(language, '') AS language, stargazers_count, CAST(CAST(created_at AS DATE) AS VARCHAR) AS created_at
        FROM repositories""",
 )
 def export_table_csv(spark, sf_dir):
@@ -590,7 +590,6 @@ def export_table_csv(spark, sf_dir):
         path,
         header=True,
         schema="id BIGINT, full_name STRING, language STRING, stargazers_count BIGINT, created_at STRING",
-        emptyValue="",
     )
     return back.withColumn("created_at", F.substring("created_at", 1, 10))
 
@@ -609,11 +608,11 @@ def export_all_tables(spark, sf_dir):
     return report.select("table", "row_count")
 
 
-@check("export_query_csv", f"SELECT id, login, location, repo_count FROM ({TOP_ORGS})")
+@check("export_query_csv", f"SELECT id, login, nullif(location, '') AS location, repo_count FROM ({TOP_ORGS})")
 def export_query_csv(spark, sf_dir):
     path = K.export_query_csv(top_organizations(spark, sf_dir), fresh_path(spark, "query.csv"))
     schema = "id BIGINT, login STRING, name STRING, location STRING, repo_count BIGINT"
-    return spark.read.csv(path, header=True, schema=schema, emptyValue="").drop("name")
+    return spark.read.csv(path, header=True, schema=schema).drop("name")
 
 
 # ---- metrics ------------------------------------------------------------------------------------------------

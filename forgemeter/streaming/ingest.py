@@ -16,13 +16,20 @@ from ..operators import events as E
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Parquet files below ``path`` as a stream of rows."""
+    """Parquet files of a folder or glob pattern as a stream of rows."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
+def _watermarked(rows: DataFrame, delay: str) -> DataFrame:
+    """Event time must be a TIMESTAMP to carry a watermark."""
+    return rows.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark(
+        "created_at", delay
+    )
+
+
 def _append(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return (
         rows.writeStream.format("parquet")
@@ -47,7 +54,7 @@ def stream_dedupe(
     Rows older than the watermark are dropped too (see :func:`late_rows`); a batch rerun over the
     archive repairs them.
     """
-    unique = rows.withWatermark("created_at", delay).dropDuplicatesWithinWatermark([key])
+    unique = _watermarked(rows, delay).dropDuplicatesWithinWatermark([key])
     return _append(unique, out, checkpoint)
 
 
@@ -64,7 +71,7 @@ def stream_time_buckets(
     rows: DataFrame, out: str, checkpoint: str, resolution: str = "hour", delay: str = "1 hour"
 ) -> StreamingQuery:
     """Events per closed time bucket and type."""
-    return _append(E.events_per_bucket(rows.withWatermark("created_at", delay), resolution), out, checkpoint)
+    return _append(E.events_per_bucket(_watermarked(rows, delay), resolution), out, checkpoint)
 
 
 def stream_org_upsert(
