@@ -77,55 +77,82 @@ CONTRIBUTOR_FIELDS = [
 ]
 
 
-def json_object(text: Column) -> Column:
-    """A JSON object as map of key to value text (nested values stay JSON)."""
-    return F.from_json(text, "map<string,string>")
+def record_schema(fields) -> str:
+    return ", ".join(f"`{key}`: {kind}" for _, key, kind, _ in fields)
 
 
-def has_key(record: Column, key: str) -> Column:
-    return F.coalesce(F.map_contains_key(record, key), F.lit(False))
+def records(df: DataFrame, column: str, schema: str, *kept: str) -> DataFrame:
+    """JSON objects as one typed struct ``r`` and their top-level ``keys``.
+
+    The keys tell an absent value from a null one; text that is no JSON object has none.
+    """
+    text = F.col(column)
+    return df.select(
+        *kept,
+        text.alias("_json"),
+        F.json_object_keys(text).alias("keys"),
+        F.from_json(text, f"struct<{schema}>").alias("r"),
+    ).where(F.col("keys").isNotNull())
 
 
-def value_of(record: Column, key: str, kind: str) -> Column:
-    return F.try_element_at(record, F.lit(key)).try_cast(kind)
+def has_key(key: str) -> Column:
+    return F.array_contains("keys", key)
 
 
-def _field(record: Column, name: str, key: str, kind: str, default) -> Column:
-    absent = F.lit(default).cast(kind)
-    return F.when(has_key(record, key), value_of(record, key, kind)).otherwise(absent).alias(name)
+def _default(name: str, value: Column, absent: Column, kind: str, default) -> Column:
+    """The value; keys are only looked at where it is null."""
+    if default is None:
+        return value.alias(name)
+    return F.coalesce(value, F.when(absent, F.lit(default).cast(kind))).alias(name)
 
 
-def _records(df: DataFrame, column: str) -> DataFrame:
-    return df.select(json_object(F.col(column)).alias("r")).where(F.col("r").isNotNull())
+def _fields(specs) -> list[Column]:
+    return [
+        _default(name, F.col(f"r.{key}"), ~has_key(key), kind, default)
+        for name, key, kind, default in specs
+    ]
 
 
 def normalize_repository(df: DataFrame, column: str = "json") -> DataFrame:
     """28 columns; the owner is flattened, ``license`` is its key, a null language is ''."""
-    records = _records(df, column).withColumn("owner", json_object(value_of(F.col("r"), "owner", "string")))
-    record = F.col("r")
-    licence = json_object(value_of(record, "license", "string"))
-    topics = F.from_json(value_of(record, "topics", "string"), "array<string>")
-    return records.select(
-        *[_field(record, *spec) for spec in REPOSITORY_FIELDS],
-        value_of(licence, "key", "string").alias("license"),
-        F.coalesce(value_of(record, "language", "string"), F.lit("")).alias("language"),
-        F.when(has_key(record, "topics"), topics)
-        .otherwise(F.array().cast("array<string>"))
-        .alias("topics"),
-        *[_field(F.col("owner"), *spec) for spec in OWNER_FIELDS],
+    schema = ", ".join(
+        [
+            record_schema(REPOSITORY_FIELDS),
+            "language: string, license: struct<key: string>, topics: array<string>",
+            f"owner: struct<{record_schema(OWNER_FIELDS)}>",
+        ]
+    )
+    no_topics = F.when(~has_key("topics"), F.array().cast("array<string>"))
+    owner_keys = F.json_object_keys(F.get_json_object("_json", "$.owner"))
+    owner = [
+        _default(
+            name,
+            F.col(f"r.owner.{key}"),
+            ~F.coalesce(F.array_contains(owner_keys, key), F.lit(False)),
+            kind,
+            default,
+        )
+        for name, key, kind, default in OWNER_FIELDS
+    ]
+    return records(df, column, schema).select(
+        *_fields(REPOSITORY_FIELDS),
+        F.col("r.license.key").alias("license"),
+        F.coalesce("r.language", F.lit("")).alias("language"),
+        F.coalesce("r.topics", no_topics).alias("topics"),
+        *owner,
     )
 
 
 def normalize_user(df: DataFrame, column: str = "json") -> DataFrame:
-    return _records(df, column).select(*[_field(F.col("r"), *spec) for spec in USER_FIELDS])
+    return records(df, column, record_schema(USER_FIELDS)).select(*_fields(USER_FIELDS))
 
 
 def normalize_organization(df: DataFrame, column: str = "json") -> DataFrame:
-    return _records(df, column).select(*[_field(F.col("r"), *spec) for spec in ORGANIZATION_FIELDS])
+    return records(df, column, record_schema(ORGANIZATION_FIELDS)).select(*_fields(ORGANIZATION_FIELDS))
 
 
 def normalize_contributor(df: DataFrame, column: str = "json") -> DataFrame:
-    return _records(df, column).select(*[_field(F.col("r"), *spec) for spec in CONTRIBUTOR_FIELDS])
+    return records(df, column, record_schema(CONTRIBUTOR_FIELDS)).select(*_fields(CONTRIBUTOR_FIELDS))
 
 
 def owner_split(repositories: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import parse_timestamp
 from .events import SUMS, moment
-from .normalize import has_key, json_object, value_of
+from .normalize import has_key, records
 
 REPOSITORY_COLUMNS = {
     "name": "string",
@@ -67,30 +67,37 @@ def repository_updates(rows: DataFrame, column: str = "json", order: str = "seq"
     did; the last record naming a field wins. Times count only where they can be read. The owner
     is that of the first record.
     """
-    records = rows.select(F.col(order).alias("_order"), json_object(F.col(column)).alias("r"))
-    r = F.col("r")
+    schema = ", ".join(
+        ["id: bigint, owner_id: bigint, organization_id: bigint"]
+        + [f"{key}: {kind}" for key, kind in REPOSITORY_COLUMNS.items()]
+        + [f"{key}: string" for key in REPOSITORY_TIMES]
+        + ["owner: struct<id: bigint>, organization: struct<id: bigint>"]
+    )
 
-    def named(key: str, kind: str) -> Column:
-        return F.when(has_key(r, key), F.struct(value_of(r, key, kind).alias("v"))).alias(key)
+    def named(key: str) -> Column:
+        value = F.struct(F.col(f"r.{key}").alias("v"))
+        return F.when(F.col(f"r.{key}").isNotNull() | has_key(key), value).alias(key)
 
     def readable(key: str) -> Column:
-        value = parse_timestamp(value_of(r, key, "string"), time_type)
+        value = parse_timestamp(F.col(f"r.{key}"), time_type)
         return F.when(value.isNotNull(), F.struct(value.alias("v"))).alias(key)
 
     def owner_of(key: str) -> Column:
-        direct = value_of(r, f"{key}_id", "bigint")
-        nested = value_of(json_object(value_of(r, key, "string")), "id", "bigint")
-        return F.coalesce(direct, nested).alias(f"{key}_id")
+        return F.coalesce(f"r.{key}_id", f"r.{key}.id").alias(f"{key}_id")
 
     fields = [*REPOSITORY_COLUMNS, *REPOSITORY_TIMES]
-    parsed = records.select(
-        "_order",
-        value_of(r, "id", "bigint").alias("id"),
-        *[named(key, kind) for key, kind in REPOSITORY_COLUMNS.items()],
-        *[readable(key) for key in REPOSITORY_TIMES],
-        owner_of("owner"),
-        owner_of("organization"),
-    ).where(F.col("id").isNotNull())
+    parsed = (
+        records(rows, column, schema, order)
+        .select(
+            F.col(order).alias("_order"),
+            "r.id",
+            *[named(key) for key in REPOSITORY_COLUMNS],
+            *[readable(key) for key in REPOSITORY_TIMES],
+            owner_of("owner"),
+            owner_of("organization"),
+        )
+        .where(F.col("id").isNotNull())
+    )
     last = [
         F.max_by(key, F.when(F.col(key).isNotNull(), F.col("_order"))).alias(key) for key in fields
     ]

@@ -106,32 +106,33 @@ def archive_events(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
         lambda i: F.struct(F.concat(F.col("l_partkey"), F.lit("-"), i).alias("sha")),
     )
     owned = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
-    return (
-        lines.join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
+    flat = (
+        lines.withColumn("type", kind)
+        .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(orgs, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.concat_ws(
-                "-",
-                "l_orderkey",
-                "l_linenumber",
-                "l_partkey",
-                "l_suppkey",
-                F.round(F.col("l_extendedprice") * 100).cast("bigint"),
-            ).alias("id"),
-            kind.alias("type"),
-            F.col("l_shipdate").alias("created_at"),
-            F.struct(F.col("o_custkey").alias("id"), F.col("c_name").alias("login")).alias("actor"),
-            F.struct(
-                F.col("l_orderkey").alias("id"),
-                F.concat("c_name", F.lit("/repo-"), "l_orderkey").alias("name"),
-                F.struct(
-                    F.when(F.col("l_partkey") % 7 != 0, F.col("s_name")).alias("login")
-                ).alias("organization"),
-            ).alias("repo"),
-            F.struct(
-                F.when(F.col("l_returnflag") == "A", shas).alias("commits")
-            ).alias("payload"),
-        )
+    )
+    # Structs are built in a step of their own, so that a query reading single fields of them
+    # never builds the rest.
+    return flat.select(
+        F.concat_ws(
+            "-",
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+        ).alias("id"),
+        "type",
+        F.col("l_shipdate").alias("created_at"),
+        F.struct(F.col("o_custkey").alias("id"), F.col("c_name").alias("login")).alias("actor"),
+        F.struct(
+            F.col("l_orderkey").alias("id"),
+            F.concat("c_name", F.lit("/repo-"), "l_orderkey").alias("name"),
+            F.struct(F.when(F.col("l_partkey") % 7 != 0, F.col("s_name")).alias("login")).alias(
+                "organization"
+            ),
+        ).alias("repo"),
+        F.struct(F.when(F.col("l_returnflag") == "A", shas).alias("commits")).alias("payload"),
     )
 
 
