@@ -17,7 +17,7 @@ from .reports import created_within, new_rows_only, search_repos, sorted_by
 from .upsert import first_per_key
 
 # Up to here a sorted limit (every task keeps its own best rows) is the cheapest way.
-SORTED_LIMIT = 1_000_000
+SORTED_LIMIT = 100_000
 
 
 # ---- limits ------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ import functools
 import json
 
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import clean_location_strict, country_key
@@ -29,8 +29,7 @@ def region_of(code: Column, view: str = "world") -> Column:
     follows continents and takes the code as it is.
     """
     text, key = (V.WORLD_REGIONS, country_key(code)) if view == "world" else (V.CONTINENTS, code)
-    regions = F.from_json(F.lit(json.dumps(dict(V.by_group(text)))), "map<string,string>")
-    return F.try_element_at(regions, key)
+    return F.try_element_at(_constant_map(json.dumps(dict(V.by_group(text))), "string"), key)
 
 
 def region_of_country(df: DataFrame, code: str, view: str = "world", into: str = "region") -> DataFrame:
@@ -128,7 +127,7 @@ def _city_codes(df: DataFrame, key: str, texts: list[str], cities: DataFrame) ->
     def prefixes(text: Column) -> Column:
         closed = F.concat(F.lower(text), F.lit(" "))
         ends = F.filter(
-            F.sequence(F.lit(2), F.least(F.length(closed), longest + 1)),
+            F.sequence(F.lit(2), F.least(F.length(closed), F.col("_longest") + 1)),
             lambda end: F.substring(closed, end, F.lit(1)).isin(" ", ","),
         )
         found = F.transform(ends, lambda end: F.substring(closed, F.lit(1), end - 1))
@@ -141,7 +140,8 @@ def _city_codes(df: DataFrame, key: str, texts: list[str], cities: DataFrame) ->
         ]
     )
     best = (
-        df.select(key, F.explode(candidates).alias("c"))
+        df.withColumn("_longest", longest)
+        .select(key, F.explode(candidates).alias("c"))
         .select(key, "c.of", "c.city")
         .join(ranked, "city")
         .groupBy(key)
@@ -256,78 +256,78 @@ def lookup_locations(df: DataFrame, cache: DataFrame) -> DataFrame:
 
 # ---- full location info ----------------------------------------------------------------------
 @functools.cache
-def _iso_rows() -> str:
+def iso_countries() -> str:
+    """JSON map from lower-cased ISO 3166 names and two- and three-letter codes to the code.
+
+    Codes come from the JVM's own country list; only names that differ are listed by hand. A text
+    that is both a name and a code counts as the name.
+    """
     locale = SparkContext._active_spark_context._jvm.java.util.Locale
-    rows = []
+    names, codes = {}, {}
     for code in locale.getISOCountries():
         country = locale("", code)
         name = V.ISO_NAMES.get(code) or country.getDisplayCountry(locale.ENGLISH)
-        keys = [(name, 1), (code, 2), (country.getISO3Country(), 2)]
-        rows += [{"key": key.lower(), "iso_country": code, "stage": stage} for key, stage in keys]
-    return json.dumps(rows)
-
+        names[name.lower()] = codes[code.lower()] = codes[country.getISO3Country().lower()] = code
+    return json.dumps({**codes, **names})
 
-def _inline(spark: SparkSession, rows: str, schema: str) -> DataFrame:
-    """A small constant table from JSON text."""
-    return spark.range(1).select(F.inline(F.from_json(F.lit(rows), f"array<struct<{schema}>>")))
 
+def _constant_map(text: str, value: str) -> Column:
+    return F.from_json(F.lit(text), f"map<string,{value}>")
 
-def iso_countries(spark: SparkSession) -> DataFrame:
-    """(key, iso_country, stage) for lower-cased ISO 3166 names (stage 1) and two- and
-    three-letter codes (stage 2).
 
-    Codes come from the JVM's own country list; only names that differ are listed by hand.
-    """
-    return _inline(spark, _iso_rows(), "key: string, iso_country: string, stage: int")
+def _with_countries(texts: DataFrame, countries: DataFrame | None) -> DataFrame:
+    """Adds the country a whole text and its tail name exactly."""
+    if countries is None:
+        iso = _constant_map(iso_countries(), "string")
+        return texts.withColumns(
+            {f"{part}_country": F.try_element_at(iso, F.col(part)) for part in ("text", "tail")}
+        )
+    for part in ("text", "tail"):
+        named = countries.select(
+            F.col("key").alias("_key"), F.col("country_code").alias(f"{part}_country")
+        )
+        texts = texts.join(
+            named, _spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
+        ).drop("_key")
+    return texts
 
 
 def location_info(locations: DataFrame, countries: DataFrame | None = None) -> DataFrame:
     """``location`` texts to (location, country_code, region, latitude, longitude).
 
-    Stages, first hit wins: country name, ISO code, city with coordinates, continent, then the
-    name or code after the last comma. ``countries`` replaces the ISO table.
+    Stages, first hit wins: country name or ISO code, city with coordinates, continent, then the
+    name or code after the last comma. ``countries`` (unique key, country_code) replaces the ISO
+    table.
     """
-    spark = locations.sparkSession
-    iso = countries if countries is not None else iso_countries(spark)
     texts = locations.select(
-        "location", F.lower(F.trim(F.regexp_replace("location", r"(?U)^\s+|\s+$", ""))).alias("text")
+        "location", F.lower(F.regexp_replace("location", r"(?U)^\s+|\s+$", "")).alias("text")
     ).withColumn("tail", last_part(F.col("text")))
-    fields = ["city", "city_country", "city_region", "city_lat", "city_lon"]
-    places = _inline(
-        spark,
-        json.dumps([dict(zip(fields, row)) for row in V.PLACED_CITIES]),
-        "city: string, city_country: string, city_region: string, city_lat: double, city_lon: double",
-    )
-    continent_of = F.from_json(F.lit(json.dumps(V.CONTINENT_NAMES)), "map<string,string>")
-    by_text = iso.groupBy("key").agg(F.min_by("iso_country", "stage").alias("iso_country"))
-    whole = by_text.select(F.col("key").alias("text"), F.col("iso_country").alias("whole_country"))
-    tail = by_text.select(F.col("key").alias("tail"), F.col("iso_country").alias("tail_country"))
-    found = (
-        texts.join(whole, "text", "left")
-        .join(tail, "tail", "left")
-        .join(F.broadcast(places), F.col("text") == F.col("city"), "left")
-        .withColumn("continent_region", F.try_element_at(continent_of, F.col("text")))
+    fields = ["country", "region", "lat", "lon"]
+    places = json.dumps({row[0]: dict(zip(fields, row[1:])) for row in V.PLACED_CITIES})
+    place = "struct<country: string, region: string, lat: double, lon: double>"
+    found = _with_countries(texts, countries).withColumns(
+        {
+            "city": F.try_element_at(_constant_map(places, place), F.col("text")),
+            "continent": F.try_element_at(
+                _constant_map(json.dumps(V.CONTINENT_NAMES), "string"), F.col("text")
+            ),
+        }
     )
-    known = F.col("whole_country").isNotNull()
-    placed = ~known & F.col("city").isNotNull()
-    continent = ~known & ~placed & F.col("continent_region").isNotNull()
+    named = F.col("text_country").isNotNull()
+    placed = ~named & F.col("city").isNotNull()
+    continent = ~named & ~placed & F.col("continent").isNotNull()
     staged = found.select(
         "location",
-        F.when(known, F.col("whole_country"))
-        .when(placed, F.col("city_country"))
+        F.when(named, F.col("text_country"))
+        .when(placed, F.col("city.country"))
         .when(~continent, F.col("tail_country"))
         .alias("country_code"),
-        F.when(placed, F.col("city_region")).when(continent, F.col("continent_region")).alias("fixed_region"),
-        F.when(placed, F.col("city_lat")).alias("latitude"),
-        F.when(placed, F.col("city_lon")).alias("longitude"),
-    )
-    return region_of_country(staged, "country_code", "continent", into="country_region").select(
-        "location",
-        "country_code",
-        F.coalesce("fixed_region", "country_region").alias("region"),
-        "latitude",
-        "longitude",
+        F.when(placed, F.col("city.region")).when(continent, F.col("continent")).alias("_region"),
+        F.when(placed, F.col("city.lat")).alias("latitude"),
+        F.when(placed, F.col("city.lon")).alias("longitude"),
     )
+    region = F.coalesce("_region", region_of(F.col("country_code"), "continent"))
+    return staged.select("location", "country_code", region.alias("region"), "latitude", "longitude")
 
 
 def batch_locations(entities: DataFrame, entity_id: str = "id", countries: DataFrame | None = None) -> DataFrame:

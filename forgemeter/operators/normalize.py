@@ -174,17 +174,37 @@ def owner_split(repositories: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def repo_bundle(
-    repositories: DataFrame, organizations: DataFrame, links: DataFrame, contributors: DataFrame
+    repositories: DataFrame,
+    organizations: DataFrame,
+    links: DataFrame,
+    contributors: DataFrame,
+    chunk_size: int = 10_000,
 ) -> DataFrame:
-    """One row per repository with its organization and its list of contributors.
+    """Repositories with their organization and their contributors as a list.
 
-    The list is part of the result, so a row is as long as its repository has contributors.
+    One row per repository. A repository with more contributors than ``chunk_size`` has its list
+    split by contributor over several rows (``chunk`` 0, 1, …), so that no list, and no task
+    building one, grows without bound. ``contributors_count`` is the total on every row.
     """
     people = contributors.select(F.col("id").alias("contributor_id"), "login")
+    known = links.select("repository_id", "contributor_id", "contributions").join(people, "contributor_id")
+    totals = known.groupBy(F.col("repository_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("contributors_count")
+    )
+    # Only repositories over the chunk size need a chunk number, and the join that brings it is
+    # salted: neither it nor the grouping after it puts all links of one repository in one task.
+    salts = 64
+    split = totals.where(F.col("contributors_count") > chunk_size).select(
+        F.col("id").alias("repository_id"),
+        F.ceil(F.col("contributors_count") / chunk_size).alias("_chunks"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    spread = F.xxhash64("contributor_id")
     listed = (
-        links.select("repository_id", "contributor_id", "contributions")
-        .join(people, "contributor_id")
-        .groupBy(F.col("repository_id").alias("id"))
+        known.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+        .join(split, ["repository_id", "_salt"], "left")
+        .withColumn("chunk", F.coalesce(F.pmod(F.shiftright(spread, 8), "_chunks"), F.lit(0)).cast("int"))
+        .groupBy(F.col("repository_id").alias("id"), "chunk")
         .agg(F.collect_list(F.struct("contributor_id", "login", "contributions")).alias("contributors"))
     )
     orgs = organizations.select(
@@ -192,10 +212,11 @@ def repo_bundle(
     )
     empty = F.array().cast("array<struct<contributor_id: bigint, login: string, contributions: bigint>>")
     return (
-        repositories.join(listed, "id", "left")
-        .join(orgs, "organization_id", "left")
+        repositories.join(orgs, "organization_id", "left")
+        .join(totals, "id", "left")
+        .join(listed, "id", "left")
         .withColumn("contributors", F.coalesce("contributors", empty))
-        .withColumn("contributors_count", F.size("contributors"))
+        .na.fill(0, ["chunk", "contributors_count"])
     )
 
 

@@ -364,13 +364,12 @@ def stars_histogram(repositories: DataFrame, bins: int = 50) -> DataFrame:
     With a single value the range is widened by one half on both sides.
     """
     stars = repositories.where(F.col("stargazers_count").isNotNull())
+    value = F.col("stargazers_count").cast("double")
+    spread = F.when(F.min(value) == F.max(value), 0.5).otherwise(0.0)
     ends = stars.agg(
-        F.min("stargazers_count").cast("double").alias("a"), F.max("stargazers_count").cast("double").alias("b")
-    ).select(
-        F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("a"),
-        F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("b"),
-    )
-    low, high = ends.select("a").scalar(), ends.select("b").scalar()
+        F.struct((F.min(value) - spread).alias("low"), (F.max(value) + spread).alias("high"))
+    ).scalar()
+    low, high = ends.getField("low"), ends.getField("high")
     position = F.floor((F.col("stargazers_count") - low) * bins / (high - low))
     counts = stars.groupBy(F.least(position, F.lit(bins - 1)).cast("bigint").alias("bin")).agg(
         F.count(ROWS).alias("repositories")
@@ -426,7 +425,7 @@ def repos_by_language(repositories: DataFrame, language: str, limit: int = 10) -
 
 
 def top_organizations(organizations: DataFrame, repositories: DataFrame, limit: int = 10) -> DataFrame:
-    """Organizations with the most repositories; the cut comes before the join."""
+    """Organizations with the most repositories, counted before the join."""
     counts = (
         repositories.where(F.col("organization_id").isNotNull())
         .groupBy("organization_id")

@@ -204,6 +204,13 @@ def events_time_bucket(spark, sf_dir):
     )
 
 
+def _table(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a stored table: written once, read as often as needed."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # ---- upserts of statistics -------------------------------------------------------------------------
 @check(
     "upsert_org_yearly_stats",
@@ -217,7 +224,7 @@ def events_time_bucket(spark, sf_dir):
        FROM organization_yearly_stats""",
 )
 def upsert_org_yearly_stats(spark, sf_dir):
-    fresh = organization_statistics(spark, sf_dir)
+    fresh = _table(organization_statistics(spark, sf_dir), "organization_yearly_stats")
     stored = fresh.where(F.col("year") < 1999).withColumn("location", F.lit("stored"))
     for value, name in enumerate(E.SUMS[:3] + E.SUMS[3:], start=1):
         stored = stored.withColumn(name, F.lit(value).cast("bigint"))
@@ -236,7 +243,7 @@ def upsert_org_yearly_stats(spark, sf_dir):
        FROM country_yearly_stats""",
 )
 def upsert_country_yearly_stats(spark, sf_dir):
-    fresh = country_yearly_stats(spark, sf_dir)
+    fresh = _table(country_yearly_stats(spark, sf_dir), "country_yearly_stats")
     stored = fresh.where(F.col("year") < 1999).withColumn("region", F.lit("stored"))
     for name in [*E.SUMS, "number_organizations"]:
         stored = stored.withColumn(name, F.lit(0).cast("bigint"))
@@ -286,7 +293,7 @@ def export_country_stats(spark, sf_dir):
         SELECT 'country', count(*), CAST(sum("Forks") AS BIGINT) FROM ({COUNTRY_EXPORT_SQL})""",
 )
 def export_stats_bundle(spark, sf_dir):
-    stats = organization_statistics(spark, sf_dir)
+    stats = _table(organization_statistics(spark, sf_dir), "organization_yearly_stats")
     paths = K.export_stats_bundle(
         stats,
         S.organizations(spark, sf_dir),
