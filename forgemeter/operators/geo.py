@@ -200,43 +200,31 @@ def resolve_locations(
     text, the lookup table ``service(text, service_country)`` on the cleaned text, the rules on the
     text after its last comma, the lookup table on that part.
     """
-    texts = locations.select(
-        "location", clean_location_strict(F.col("location")).alias("text")
+    rows = locations if cache is None else lookup_locations(locations, cache)
+    hit = F.lit(False) if cache is None else F.col("is_hit")
+    texts = rows.withColumn(
+        "text", F.when(~hit, clean_location_strict(F.col("location")))
     ).withColumn("tail", last_part(F.col("text")))
     text_city = tail_city = None
     if cities is not None:
         texts = _city_codes(texts, "location", ["text", "tail"], cities)
         text_city, tail_city = F.col("text_city"), F.col("tail_city")
-    looked_up = looked_up_tail = F.lit(None).cast("string")
+    answers = [country_rules(F.col("text"), text_city), country_rules(F.col("tail"), tail_city)]
     if service is not None:
         for part in ("text", "tail"):
             found = service.select(
-                F.col("text").alias(f"{part}_key"), F.col("service_country").alias(f"{part}_found")
+                F.col("text").alias("_key"), F.col("service_country").alias(f"{part}_found")
             )
             texts = texts.join(
-                found, _spread_null(F.col(part), F.col("location")) == F.col(f"{part}_key"), "left"
-            )
-        looked_up, looked_up_tail = F.col("text_found"), F.col("tail_found")
-    resolved = texts.select(
-        "location",
-        F.coalesce(
-            country_rules(F.col("text"), text_city),
-            looked_up,
-            country_rules(F.col("tail"), tail_city),
-            looked_up_tail,
-        ).alias("country_code"),
-    )
-    resolved = region_of_country(resolved, "country_code")
-    if cache is None:
-        return resolved
-    known = lookup_locations(resolved.select("location"), cache)
-    return known.join(resolved, "location").select(
-        "location",
-        *[
-            F.when(F.col("is_hit"), F.col(f"cached_{name}")).otherwise(F.col(name)).alias(name)
-            for name in ("country_code", "region")
-        ],
-    )
+                found, _spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
+            ).drop("_key")
+        answers = [answers[0], F.col("text_found"), answers[1], F.col("tail_found")]
+    resolved = texts.withColumn("_country", F.coalesce(*answers))
+    country, region = F.col("_country"), region_of(F.col("_country"))
+    if cache is not None:
+        country = F.when(hit, F.col("cached_country_code")).otherwise(country)
+        region = F.when(hit, F.col("cached_region")).otherwise(region)
+    return resolved.select("location", country.alias("country_code"), region.alias("region"))
 
 
 def lookup_locations(df: DataFrame, cache: DataFrame) -> DataFrame:
