@@ -6,12 +6,12 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import events as E, reports as R, upsert as U
+from ..operators import events as E, upsert as U
 from ..sinks import tables as K
 from ..sources import archive as A, entities as N, sample_tables as S
 from ..streaming import ingest as I
 from ..workspace import fresh_path
-from .registry import check, text, time_text
+from .registry import check, stored, text, time_text
 
 AS_OF = datetime(2024, 1, 31)
 YEARS = (1996, 2000)
@@ -44,7 +44,15 @@ def event_projection(spark, sf_dir):
     return rows.withColumn("created_at", F.to_date("created_at").cast("string"))
 
 
-REPO_EVENTS_AT = datetime(1998, 6, 2, 12)
+def _newest_repository(spark, sf_dir):
+    """Name of the repository with the highest id, and the time of its last event."""
+    newest = S.table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).scalar()
+    return (
+        S.archive_events(spark, sf_dir)
+        .where(F.col("repo.id") == newest)
+        .agg(F.max_by("repo.name", "created_at"), F.max("created_at"))
+        .first()
+    )
 
 
 @check(
@@ -58,14 +66,9 @@ REPO_EVENTS_AT = datetime(1998, 6, 2, 12)
 )
 def repo_events(spark, sf_dir):
     events = S.archive_events(spark, sf_dir)
-    newest = S.table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).scalar()
-    latest = (
-        events.where(F.col("repo.id") == newest)
-        .agg(F.max_by("repo.name", "created_at").alias("n"), F.max("created_at").alias("t"))
-        .first()
-    )
+    name, until = _newest_repository(spark, sf_dir)
     rows = E.repo_events(
-        events, latest["n"], latest["t"], latest["t"] - timedelta(days=30), E.STATS_TYPES
+        events, name, until, until - timedelta(days=30), E.STATS_TYPES
     )
     return rows.withColumn("created_at", F.to_date("created_at").cast("string"))
 
@@ -81,13 +84,8 @@ def repo_events(spark, sf_dir):
 )
 def repo_metrics(spark, sf_dir):
     events = S.archive_events(spark, sf_dir)
-    newest = S.table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).scalar()
-    latest = (
-        events.where(F.col("repo.id") == newest)
-        .agg(F.max_by("repo.name", "created_at").alias("n"), F.max("created_at").alias("t"))
-        .first()
-    )
-    return E.repo_metrics(events, latest["n"], latest["t"])
+    name, until = _newest_repository(spark, sf_dir)
+    return E.repo_metrics(events, name, until)
 
 
 # ---- yearly statistics ---------------------------------------------------------------------------
@@ -118,32 +116,32 @@ def org_yearly_simple(spark, sf_dir):
     "org_stats_enrich",
     f"""SELECT s.year, s.organization_login, o.id AS organization_id, o.location, o.country_code,
                o.region, {STAT_COLUMNS}
-        FROM org_stats s JOIN organizations o ON o.login = s.organization_login AND o.id % 3 <> 0""",
+        FROM org_stats s JOIN organizations o ON o.login = s.organization_login AND country_code IS NOT NULL""",
 )
 def org_stats_enrich(spark, sf_dir):
-    known = S.with_countries(S.organizations(spark, sf_dir)).where(F.col("id") % 3 != 0)
+    known = S.with_countries(S.organizations(spark, sf_dir)).where("country_code IS NOT NULL")
     return E.enrich_with_organizations(org_yearly_stats(spark, sf_dir), known)
 
 
 @check(
     "unknown_organizations",
     f"""SELECT year, organization_login, {STAT_COLUMNS} FROM org_stats
-        WHERE organization_login NOT IN (SELECT login FROM organizations WHERE id % 3 <> 0)""",
+        WHERE organization_login NOT IN (SELECT login FROM organizations WHERE country_code IS NOT NULL)""",
 )
 def unknown_organizations(spark, sf_dir):
-    known = S.organizations(spark, sf_dir).where(F.col("id") % 3 != 0)
+    known = S.with_countries(S.organizations(spark, sf_dir)).where("country_code IS NOT NULL")
     return E.unknown_organizations(org_yearly_stats(spark, sf_dir), known)
 
 
 @check(
     "commit_backfill",
     f"""SELECT s.year, s.organization_login, {STAT_COLUMNS},
-               CASE WHEN s.year % 2 = 0 THEN coalesce(c.number_commits, 0) ELSE 0 END AS number_commits
+               CASE WHEN s.year >= 1998 THEN coalesce(c.number_commits, 0) ELSE 0 END AS number_commits
         FROM org_stats s LEFT JOIN org_commits c
           ON c.year = s.year AND c.organization_login = s.organization_login""",
 )
 def commit_backfill(spark, sf_dir):
-    commits = org_yearly_commits(spark, sf_dir).where(F.col("year") % 2 == 0)
+    commits = org_yearly_commits(spark, sf_dir).where(F.col("year") >= 1998)
     return E.backfill_commits(org_yearly_stats(spark, sf_dir), commits)
 
 
@@ -204,13 +202,6 @@ def events_time_bucket(spark, sf_dir):
     )
 
 
-def _table(df: DataFrame, label: str) -> DataFrame:
-    """The frame as a stored table: written once, read as often as needed."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # ---- upserts of statistics -------------------------------------------------------------------------
 @check(
     "upsert_org_yearly_stats",
@@ -224,11 +215,11 @@ def _table(df: DataFrame, label: str) -> DataFrame:
        FROM organization_yearly_stats""",
 )
 def upsert_org_yearly_stats(spark, sf_dir):
-    fresh = _table(organization_statistics(spark, sf_dir), "organization_yearly_stats")
-    stored = fresh.where(F.col("year") < 1999).withColumn("location", F.lit("stored"))
+    fresh = stored(organization_statistics(spark, sf_dir), "organization_yearly_stats")
+    before = fresh.where(F.col("year") < 1999).withColumn("location", F.lit("stored"))
     for value, name in enumerate(E.SUMS[:3] + E.SUMS[3:], start=1):
-        stored = stored.withColumn(name, F.lit(value).cast("bigint"))
-    return U.upsert_org_yearly_stats(stored, fresh.where(F.col("year") > 1996))
+        before = before.withColumn(name, F.lit(value).cast("bigint"))
+    return U.upsert_org_yearly_stats(before, fresh.where(F.col("year") > 1996))
 
 
 @check(
@@ -243,11 +234,11 @@ def upsert_org_yearly_stats(spark, sf_dir):
        FROM country_yearly_stats""",
 )
 def upsert_country_yearly_stats(spark, sf_dir):
-    fresh = _table(country_yearly_stats(spark, sf_dir), "country_yearly_stats")
-    stored = fresh.where(F.col("year") < 1999).withColumn("region", F.lit("stored"))
+    fresh = stored(country_yearly_stats(spark, sf_dir), "country_yearly_stats")
+    before = fresh.where(F.col("year") < 1999).withColumn("region", F.lit("stored"))
     for name in [*E.SUMS, "number_organizations"]:
-        stored = stored.withColumn(name, F.lit(0).cast("bigint"))
-    return U.upsert_country_yearly_stats(stored, fresh.where(F.col("year") > 1996))
+        before = before.withColumn(name, F.lit(0).cast("bigint"))
+    return U.upsert_country_yearly_stats(before, fresh.where(F.col("year") > 1996))
 
 
 # ---- exports -----------------------------------------------------------------------------------------
@@ -293,7 +284,7 @@ def export_country_stats(spark, sf_dir):
         SELECT 'country', count(*), CAST(sum("Forks") AS BIGINT) FROM ({COUNTRY_EXPORT_SQL})""",
 )
 def export_stats_bundle(spark, sf_dir):
-    stats = _table(organization_statistics(spark, sf_dir), "organization_yearly_stats")
+    stats = stored(organization_statistics(spark, sf_dir), "organization_yearly_stats")
     paths = K.export_stats_bundle(
         stats,
         S.organizations(spark, sf_dir),

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from ..functions import dates as D, fixed_values as V
 from ..operators import collect as C, normalize as J, upsert as U
 from ..sources import sample_tables as S
-from .registry import check, text, time_text
+from .registry import check, stored, text
 
 AS_OF = date(2001, 6, 30)
 JOINED = datetime(2024, 1, 31)
@@ -90,7 +90,7 @@ def normalize_contributor(spark, sf_dir):
         UNION ALL SELECT 'organization', id, login, NULL FROM o WHERE type = 'Organization'""",
 )
 def owner_split(spark, sf_dir):
-    rows = J.normalize_repository(S.repository_records(spark, sf_dir))
+    rows = stored(J.normalize_repository(S.repository_records(spark, sf_dir)), "records")
     found, contributors, organizations = J.owner_split(rows)
     none = F.lit(None).cast("string").alias("organization")
     return (
@@ -254,7 +254,7 @@ def dedupe_ids(spark, sf_dir):
 
 def _quality_sql(where):
     part = """SELECT {repo}, {n} AS strategy FROM (SELECT * FROM repositories WHERE stargazers_count >= 100
-              AND forks_count >= 5 {where} ORDER BY {order} DESC, id LIMIT 30) WHERE id % 3 <> 0"""
+              AND forks_count >= 5 {where} ORDER BY {order} DESC, id LIMIT 30) WHERE NOT fork"""
     return " UNION ALL ".join(
         part.format(repo=REPO, n=n, where=where, order=order)
         for n, order in enumerate(("stargazers_count", "forks_count", "updated_at"))
@@ -262,7 +262,7 @@ def _quality_sql(where):
 
 
 def _quality(spark, sf_dir, period=None):
-    stored = repos(spark, sf_dir).where(F.col("id") % 3 == 0)
+    stored = repos(spark, sf_dir).where("fork")
     found = C.quality_repositories(repos(spark, sf_dir), stored, 90, period, min_stars=100, min_forks=5)
     return found.select("id", "full_name", "stargazers_count", F.col("strategy").cast("bigint").alias("strategy"))
 
@@ -376,16 +376,16 @@ def age_period_bucket(spark, sf_dir):
     f"""WITH r AS (SELECT *, CAST(created_at AS DATE) AS d FROM repositories
                    WHERE stargazers_count >= 100 AND created_at >= TIMESTAMP '1996-01-01'
                      AND created_at < TIMESTAMP '2001-07-02'),
-             c AS (SELECT id, full_name, stargazers_count, d, {THIRD.format(d='d')} AS own,
+             c AS (SELECT id, full_name, stargazers_count, fork, d, {THIRD.format(d='d')} AS own,
                           CASE WHEN day(d) IN (1, 11, 21) AND d > DATE '1996-01-01'
                                THEN {THIRD.format(d="(d - 1)")} END AS before FROM r),
              done AS (SELECT DISTINCT {THIRD.format(d='created_at')} AS period FROM repositories
                       WHERE month(created_at) = 3),
-             t AS (SELECT id, full_name, stargazers_count,
+             t AS (SELECT id, full_name, stargazers_count, fork,
                           CASE WHEN before IS NOT NULL AND before NOT IN (SELECT period FROM done) THEN before
                                WHEN own NOT IN (SELECT period FROM done) AND d < DATE '2001-07-01' THEN own END AS period
                    FROM c)
-        SELECT * FROM t WHERE period IS NOT NULL AND id % 5 <> 0
+        SELECT id, full_name, stargazers_count, period FROM t WHERE period IS NOT NULL AND NOT fork
         ORDER BY period, stargazers_count DESC, id LIMIT 1000""",
 )
 def collect_by_time(spark, sf_dir):
@@ -395,7 +395,7 @@ def collect_by_time(spark, sf_dir):
     )
     taken = C.collect_by_time(
         everything,
-        everything.where(F.col("id") % 5 == 0),
+        everything.where("fork"),
         C.period_progress(march),
         AS_OF,
         min_stars=100,
@@ -410,17 +410,17 @@ def collect_by_time(spark, sf_dir):
     f"""WITH r AS (SELECT *, CAST(created_at AS DATE) - DATE '1997-03-01' AS off FROM repositories
                    WHERE stargazers_count >= 100
                      AND CAST(created_at AS DATE) BETWEEN DATE '1997-03-01' AND DATE '1997-12-31'),
-             m AS (SELECT {REPO}, off // 5 AS period_no,
+             m AS (SELECT {REPO}, fork, off // 5 AS period_no,
                           off % 5 <> 0 OR off = 0 AS first_time FROM r WHERE off // 5 <= 60
                    UNION ALL
-                   SELECT {REPO}, off // 5 - 1, true FROM r WHERE off % 5 = 0 AND off > 0)
-        SELECT {REPO}, CAST(period_no AS BIGINT) AS period_no, first_time AND id % 4 <> 0 AS is_new
+                   SELECT {REPO}, fork, off // 5 - 1, true FROM r WHERE off % 5 = 0 AND off > 0)
+        SELECT {REPO}, CAST(period_no AS BIGINT) AS period_no, first_time AND NOT fork AS is_new
         FROM m ORDER BY period_no, {BEST} LIMIT 1200""",
 )
 def collect_range(spark, sf_dir):
     everything = repos(spark, sf_dir)
     taken = C.collect_range(
-        everything, everything.where(F.col("id") % 4 == 0), date(1997, 3, 1), date(1997, 12, 31), limit=1200
+        everything, everything.where("fork"), date(1997, 3, 1), date(1997, 12, 31), limit=1200
     )
     return taken.select(
         "id", "full_name", "stargazers_count", F.col("period_no").cast("bigint").alias("period_no"), "is_new"
@@ -438,13 +438,13 @@ RANGE_ROWS = ", ".join(
                                                  (2, {AGES[2]}, {AGES[1]}), (3, {AGES[3]}, {AGES[2]})),
              s(stars, low, high) AS (VALUES {RANGE_ROWS}),
              l(lang, language_name) AS (VALUES (0, 'python'), (1, 'javascript'), (3, 'go')),
-             p AS (SELECT {REPO}, (age * 8 + stars) * 10 + lang AS stratum
+             p AS (SELECT {REPO}, fork, (age * 8 + stars) * 10 + lang AS stratum
                    FROM repositories JOIN a ON CAST(created_at AS DATE) BETWEEN oldest AND youngest
                    JOIN s ON stargazers_count BETWEEN low AND high JOIN l ON lower(language) = language_name
                    WHERE forks_count >= 3),
              k AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {BEST}) AS rank FROM p),
              f AS (SELECT id, full_name, stargazers_count, min(stratum) AS stratum FROM k
-                   WHERE rank <= 40 AND id % 4 <> 0 GROUP BY 1, 2, 3),
+                   WHERE rank <= 40 AND NOT fork GROUP BY 1, 2, 3),
              q AS (SELECT stratum, coalesce(sum(count(*)) OVER (ORDER BY stratum ROWS BETWEEN UNBOUNDED PRECEDING
                                                                AND 1 PRECEDING), 0) AS prior
                    FROM f GROUP BY stratum)
@@ -454,7 +454,7 @@ RANGE_ROWS = ", ".join(
 def collect_diverse(spark, sf_dir):
     everything = repos(spark, sf_dir)
     taken = C.collect_diverse(
-        everything, everything.where(F.col("id") % 4 == 0), AS_OF, total_target=600, min_forks=3, per_stratum=40
+        everything, everything.where("fork"), AS_OF, total_target=600, min_forks=3, per_stratum=40
     )
     return taken.select(
         "id", "full_name", "stargazers_count", F.col("stratum").cast("bigint").alias("stratum")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..workspace import fresh_path
 from .sql_tables import TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,13 @@ def check(name: str, sql: str | None = None):
     return register
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a stored table: written once, read as often as needed."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text(column: str | Column, name: str | None = None) -> Column:
     """A date, time or optional number as text, which compares the same everywhere."""
     col = F.col(column) if isinstance(column, str) else column

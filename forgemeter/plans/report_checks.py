@@ -206,9 +206,9 @@ def left_outer_aggregate(spark, sf_dir):
     return R.org_repo_counts(S.organizations(spark, sf_dir), repos(spark, sf_dir))
 
 
-@check("new_repos_only", f"SELECT {REPO} FROM repositories WHERE id % 4 <> 0")
+@check("new_repos_only", f"SELECT {REPO} FROM repositories WHERE NOT fork")
 def new_repos_only(spark, sf_dir):
-    stored = repos(spark, sf_dir).where(F.col("id") % 4 == 0)
+    stored = repos(spark, sf_dir).where("fork")
     return R.new_rows_only(repos(spark, sf_dir), stored).select(REPO_COLUMNS)
 
 
@@ -240,7 +240,7 @@ LONG_DAYS = (AS_OF - datetime(2000, 9, 20)).days
 @check(
     "growth_outer_merge",
     """WITH a AS (SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS date, count(*) AS pushes
-                  FROM recent WHERE type = 'PushEvent' AND id % 2 = 0 GROUP BY 1),
+                  FROM recent WHERE type = 'PushEvent' GROUP BY 1),
             b AS (SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS date, count(*) AS repositories
                   FROM repositories GROUP BY 1)
        SELECT coalesce(a.date, b.date) AS date, coalesce(pushes, 0) AS pushes,
@@ -249,7 +249,7 @@ LONG_DAYS = (AS_OF - datetime(2000, 9, 20)).days
 )
 def growth_outer_merge(spark, sf_dir):
     day = F.to_date("created_at").cast("string").alias("date")
-    pushes = S.events(spark, sf_dir).where((F.col("type") == "PushEvent") & (F.col("id") % 2 == 0))
+    pushes = S.events(spark, sf_dir).where(F.col("type") == "PushEvent")
     left = pushes.groupBy(day).agg(F.count(F.lit(1)).alias("pushes"))
     right = repos(spark, sf_dir).groupBy(day).agg(F.count(F.lit(1)).alias("repositories"))
     return R.outer_merge(left, right, ["date"])
