@@ -208,11 +208,15 @@ def repo_bundle(
         .agg(F.collect_list(F.struct("contributor_id", "login", "contributions")).alias("contributors"))
     )
     orgs = organizations.select(
-        F.col("id").alias("organization_id"), F.struct("id", "login", "location").alias("organization")
+        F.col("id").alias("_org"), F.struct("id", "login", "location").alias("organization")
     )
+    # Repositories without an organization get keys of their own instead of sharing the null.
+    org_key = F.coalesce("organization_id", -F.col("id") - 1)
     empty = F.array().cast("array<struct<contributor_id: bigint, login: string, contributions: bigint>>")
     return (
-        repositories.join(orgs, "organization_id", "left")
+        repositories.withColumn("_org", org_key)
+        .join(orgs, "_org", "left")
+        .drop("_org")
         .join(totals, "id", "left")
         .join(listed, "id", "left")
         .withColumn("contributors", F.coalesce("contributors", empty))
