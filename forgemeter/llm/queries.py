@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from . import decontamination, language_id, line_dedup, mixing, simhash
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import (
+    chat_snapshots,
+    decontamination,
+    html_wrappers,
+    language_id,
+    line_dedup,
+    merkle_fixity,
+    mixing,
+    quality_rules,
+    simhash,
+    token_counts,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +41,122 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_deleted", "text")
 
 
+LEDGER_SQL = """
+words AS (
+  SELECT doc_id, text, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words,
+    list_filter(coalesce(string_split(text, chr(10)), []), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents
+), grams AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS again
+  FROM (SELECT doc_id, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM words))
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM grams, (VALUES (0), (1), (2)) AS offsets(k) WHERE again GROUP BY doc_id
+), measured AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(len(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM words w LEFT JOIN covered c USING (doc_id)
+), ledger AS (
+  SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+    + 8 * (5 * n_dup_lines > 2 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 20 * n_words)::INT
+    + 64 * (100 * n_repeat_words > 20 * n_words)::INT AS BIGINT) AS fail_bits
+  FROM measured
+)
+"""
+
+
+@query("op2_quality_rules", f"""
+WITH {LEDGER_SQL}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
+  (fail_bits & 63) = 0 AS kept, n_lines, fail_bits, 2 AS policy
+FROM ledger
+""")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judged(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*first, "n_lines", "fail_bits", "policy")
+
+
+@query("quality_rule_ablations", f"""
+WITH {LEDGER_SQL}, cases AS (
+  SELECT * FROM (VALUES (1, 'few_words', 1, 3), (1, 'repeated_words', 2, 3),
+    (2, 'few_words', 1, 63), (2, 'repeated_words', 2, 63), (2, 'many_symbols', 4, 63), (2, 'duplicate_lines', 8, 63),
+    (2, 'short_words', 16, 63), (2, 'long_words', 32, 63),
+    (3, 'few_words', 1, 127), (3, 'repeated_words', 2, 127), (3, 'many_symbols', 4, 127), (3, 'duplicate_lines', 8, 127),
+    (3, 'short_words', 16, 127), (3, 'long_words', 32, 127), (3, 'some_repetition', 64, 127)) AS t(policy, rule, bit, mask)
+)
+SELECT policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS failing, count(*) FILTER (fail_bits & mask = bit) AS failing_alone,
+  count(*) FILTER (fail_bits & mask = 0) AS kept_with, count(*) FILTER (fail_bits & mask & ~bit = 0) AS kept_without
+FROM cases, ledger GROUP BY ALL
+""")
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
+@query("op3_chat_snapshots", """
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position FROM turns
+), prefixes AS (
+  SELECT conv_id, position, string_agg(role || chr(1) || text || chr(2), '') OVER (PARTITION BY conv_id ORDER BY position) AS prefix FROM numbered
+), whole AS (
+  SELECT conv_id, max(position) AS n, arg_max(prefix, position) AS prefix FROM prefixes GROUP BY conv_id
+), distinct_ones AS (
+  SELECT min(conv_id) AS conv_id, n, prefix, count(*) AS n_logged FROM whole GROUP BY n, prefix
+), kept AS (
+  SELECT d.* FROM distinct_ones d
+  WHERE NOT EXISTS (SELECT 1 FROM prefixes p JOIN whole w USING (conv_id) WHERE p.prefix = d.prefix AND p.position < w.n)
+)
+SELECT k.conv_id, CAST(0 AS INTEGER) AS part, CAST(k.n AS BIGINT) AS n_turns, k.n_logged,
+  string_agg('<|' || t.role || '|>' || chr(10) || t.text || chr(10) || '<|end|>' || chr(10), '' ORDER BY t.position) AS rendered
+FROM kept k JOIN numbered t USING (conv_id) GROUP BY ALL
+""")
+def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_snapshots.formatted(table(spark, sf_dir, "conversations"))
+
+
+@query("op4_html_wrappers")
+def op4_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query("op5_language_id")
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(table(spark, sf_dir, "documents"))
 
 
+def damaged_replica(pages: DataFrame) -> DataFrame:
+    """A second replica made from the first: some pages changed by one character, some lost, some stored twice."""
+    key, half = F.col("page_id"), F.floor(F.length("html") / 2).cast("int")
+    changed = F.concat(F.substring("html", F.lit(1), half), F.lit("\x7f"), F.expr("substring(html, cast(floor(length(html) / 2) as int) + 2)"))
+    rows = pages.filter(F.coalesce(key % 389 != 7, F.lit(True)))
+    rows = rows.withColumn("html", F.when(key % 97 == 13, changed).otherwise(F.col("html")))
+    return rows.withColumn("copy", F.explode(F.when(key % 1009 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("copy")
+
+
+@query("op6_merkle_fixity", """
+WITH records AS (
+  SELECT page_id, strlen('WARC/1.0') + 2 + strlen('WARC-Type: response') + 2 + strlen('WARC-Record-ID: <urn:page:' || page_id || '>') + 2
+    + strlen('WARC-Target-URI: ' || coalesce(url, '')) + 2 + strlen('Content-Length: ' || strlen(coalesce(html, ''))) + 4 + strlen(coalesce(html, '')) + 4 AS bytes
+  FROM pages
+), placed AS (
+  SELECT *, CAST(coalesce(sum(bytes) OVER (PARTITION BY page_id // 1000 ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM records
+)
+SELECT page_id // 1000 AS file, page_id AS place, "offset", CAST(bytes AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS primary_records,
+  CAST(CASE WHEN page_id % 389 = 7 THEN 0 WHEN page_id % 1009 = 5 THEN 2 ELSE 1 END AS BIGINT) AS replica_records,
+  CASE WHEN page_id % 389 = 7 THEN 'missing' ELSE 'changed' END AS kind
+FROM placed WHERE page_id % 389 = 7 OR page_id % 97 = 13 OR page_id % 1009 = 5
+""")
+def op6_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return merkle_fixity.audit(pages, damaged_replica(pages))
+
+
 @query("op7_decontamination")
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -89,3 +211,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash")
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest(table(spark, sf_dir, "documents"))
