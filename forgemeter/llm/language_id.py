@@ -93,15 +93,13 @@ class Model:
         out: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
         if not self.languages:
             return out
-        counts = [gram_counts(text) for text in texts]
-        known = [n for n, c in enumerate(counts) if c is not None]
-        for at in range(0, len(known), 256):
-            part = known[at : at + 256]
-            near = np.stack([unit_vector(counts[n], self.idf) for n in part]) @ self.centroids.T
-            best = near.argmax(axis=1)
-            for n, row, b in zip(part, near, best):
-                score = float(min(max(row[b], 0.0), 1.0))
-                out[n] = (self.languages[self.owners[b]], score, score < self.limits[length_class(counts[n])])
+        for n, text in enumerate(texts):  # one dense vector at a time
+            counts = gram_counts(text)
+            if counts is not None:
+                near = self.centroids @ unit_vector(counts, self.idf)
+                best = int(near.argmax())
+                score = float(min(max(near[best], 0.0), 1.0))
+                out[n] = (self.languages[self.owners[best]], score, bool(score < self.limits[length_class(counts)]))
         return out
 
 
@@ -189,8 +187,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
                 lang, score, rejected = zip(*shared.value.predict(texts))
                 added = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
@@ -213,8 +211,8 @@ def known_language(docs: DataFrame) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 texts = part.column(part.schema.get_field_index("text")).to_pylist()
                 yield part.filter(pa.array([not rejected for _, _, rejected in shared.value.predict(texts)], pa.bool_()))
 
