@@ -250,8 +250,8 @@ def _paths(w: dict, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...
             yield from _paths(w["kids"][sig], (*path, sig))
 
 
-def article_path(w: dict) -> tuple[str, ...]:
-    """Where the article is, as signatures from the root."""
+def article_path(w: dict) -> tuple[tuple[str, ...], bool]:
+    """Where the article is, as signatures from the root, and whether a name or mark says so."""
     places = list(_paths(w))
     total = _weight(w)
     marked = [(path, _weight(x)) for path, x in places if x["main"] and path]
@@ -261,16 +261,16 @@ def article_path(w: dict) -> tuple[str, ...]:
             path, size = max(group, key=lambda p: (p[1], -len(p[0])))
             outer = max([s for p, s in marked if path[: len(p)] == p], default=0)
             if 2 * size >= outer and size:
-                return path
+                return path, True
     named = [(path, _weight(x)) for path, x in places if path and set(re.split(r"[^a-z]+", path[-1].partition(".")[2])) & _CONTENT_NAMES]
     named = [(path, size) for path, size in named if 2 * size >= total and size]
     if named:
-        return max(named, key=lambda p: len(p[0]))[0]
+        return max(named, key=lambda p: len(p[0]))[0], True
     path, here = (), w
     while True:
         heavy = [sig for sig in here["order"] if sig.partition(".")[0] not in _OWN_TEXT and 10 * _weight(here["kids"][sig]) >= 9 * max(_weight(here), 1)]
         if not heavy:
-            return path
+            return path, False
         path, here = (*path, heavy[0]), here["kids"][heavy[0]]
 
 
@@ -286,18 +286,19 @@ def constant_paths(w: dict, article: tuple[str, ...]) -> list[tuple[str, ...]]:
 
 
 def rules_of(w: dict) -> dict:
-    article = article_path(w)
-    return {"article": list(article), "constant": [list(path) for path in constant_paths(w, article)]}
+    article, named = article_path(w)
+    return {"article": list(article), "named": named, "constant": [list(path) for path in constant_paths(w, article)]}
 
 
 def blocks(root: Node, rules: dict) -> list[str]:
-    """Text blocks below the article's place, in page order."""
+    """Text blocks below the article's place, in page order; where nothing names it, blocks of links go."""
     article, constant = tuple(rules["article"]), {tuple(path) for path in rules["constant"]}
     out: list[str] = []
     run: list[str] = []
 
     def flush() -> None:
-        if text := " ".join(references.unescape("".join(run)).split()):
+        text = " ".join(references.unescape("".join(part.lstrip("\0") for part in run)).split())
+        if text and (rules["named"] or any(part[0] != "\0" and part.strip() for part in run)):
             out.append(text)
         run.clear()
 
@@ -305,7 +306,7 @@ def blocks(root: Node, rules: dict) -> list[str]:
         for kid in node.kids:
             if isinstance(kid, str):
                 if inside:
-                    run.append(kid.lstrip("\0"))
+                    run.append(kid)
                 continue
             if kid.tag == "br":
                 run.append(" ")

@@ -4,8 +4,8 @@ N-grams of 1 to 3 code points (lower case, everything but letters being one spac
 ``DIMENSIONS`` slots. Document frequencies are counted over all documents that may be learned from, as
 partial sums per task. Each language's sample of unit vectors (at most ``SAMPLE`` documents, the
 first by a hash of the id) is clustered into ``CENTROIDS`` unit centroids by spherical k-means. A text takes the
-language of its nearest centroid by cosine; it is rejected where that similarity is below half of
-the least one among learned texts of its length (a text without a letter is always rejected).
+language of its nearest centroid by cosine; it is rejected where that similarity is below 0.4 of
+what nearly all learned texts of its length reach (a text without a letter is always rejected).
 
 What goes through the driver is bounded by the parameters and the number of languages: the document
 frequencies, the centroids and the limits. Texts are scored where they are read, without a shuffle.
@@ -33,8 +33,10 @@ CENTROIDS = 4
 SAMPLE = 2000
 ROUNDS = 8
 UNKNOWN = "und"
-#: A similarity under this part of the least one of learned texts of the same length is a rejection.
-REJECT_PART = 0.5
+#: A similarity under this part of the low quantile of learned texts of the same length is a rejection.
+REJECT_PART, QUANTILE = 0.4, 0.01
+#: Learned texts that a class of length must have for a limit of its own.
+CLASS_TEXTS = 20
 _LENGTHS = 24  # classes of text length, by powers of two
 
 
@@ -171,11 +173,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     for row in fitted:
         for c, s in zip(row.classes, row.similar):
             by_class.setdefault(c, []).append(s)
-    limits, least = np.zeros(_LENGTHS), 0.0
-    for c in range(_LENGTHS):  # a class without texts takes the limit of the shorter one
-        if by_class.get(c):
-            least = REJECT_PART * min(by_class[c])
-        limits[c] = least
+    limits = np.zeros(_LENGTHS)
+    for c in range(_LENGTHS):  # a class of few texts takes in the shorter ones, which are less similar
+        texts, low = [], c
+        while low >= 0 and len(texts) < CLASS_TEXTS:
+            texts += by_class.get(low, [])
+            low -= 1
+        if len(texts) >= CLASS_TEXTS:
+            limits[c] = REJECT_PART * float(np.quantile(texts, QUANTILE))
     matrix = np.array([fitted[n].centre for _, n in centres], np.float32).reshape(len(centres), DIMENSIONS)
     return Model(languages, np.array([k for k, _ in centres], np.int64), matrix, idf, limits)
 
