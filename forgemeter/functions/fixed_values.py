@@ -274,7 +274,6 @@ SAMPLE_LANGUAGES = [
 ]
 # Age in days: (oldest, youngest); None = up to today.
 AGE_PERIODS = [(180, None), (365, 180), (730, 365), (1825, 730)]
-STRATUM_LIMIT = 1000
 
 # Longest description kept, in UTF-8 bytes.
 MAX_DESCRIPTION_BYTES = 16 * 1024 * 1024

@@ -11,14 +11,10 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import dates as D, fixed_values as V
-from ..functions.text import truncate_utf8
 from .normalize import owner_split
 from .reports import created_within, new_rows_only, search_repos, sorted_by
 from .upsert import first_per_key
 
-# Up to here a sorted limit (every task keeps its own best rows) is the cheapest way.
-SORTED_LIMIT = 100_000
-
 
 # ---- limits ------------------------------------------------------------------------------------
 def top_n_per_stratum(df: DataFrame, strata: list[str], n: int, order: list[Column] | None = None) -> DataFrame:
@@ -44,14 +40,12 @@ def cap_whole_strata(df: DataFrame, stratum: str, total: int) -> DataFrame:
 def cap_total(df: DataFrame, stratum: str, total: int | None, order: list[Column] | None = None) -> DataFrame:
     """The first ``total`` rows by stratum and rank order.
 
-    Large totals go by counts: strata that fit stay whole, only the one that crosses the limit is
-    ranked.
+    It goes by counts: strata that fit stay whole, only the one that crosses the limit is ranked, and
+    no task gathers more than it keeps.
     """
     if total is None:
         return df
     order = order or sorted_by()
-    if total <= SORTED_LIMIT:
-        return df.orderBy(stratum, *order).limit(total)
     quota = _running_quota(df, stratum).withColumn(
         "keep", F.least(F.col("rows"), F.greatest(F.lit(total) - F.col("prior"), F.lit(0)))
     )
@@ -121,10 +115,13 @@ def collect_by_time(
         "_before",
         F.when((day == F.col("_own.first_day")) & (day > F.lit(begin)), D.month_third(F.date_sub(day, 1))),
     )
-    done = progress.select("period").distinct()
+    # At most the 36 periods of each year of the range, so these may be broadcast; most rows have no
+    # earlier period, and a shuffle by it would send them all to one task.
+    known = month_thirds(candidates.sparkSession, begin, end).select("period")
+    done = known.join(progress.select("period").distinct(), "period", "left_semi")
     for name in ("own", "before"):
         flags = done.select(F.col("period").alias(f"_{name}_period"), F.lit(True).alias(f"_{name}_done"))
-        placed = placed.join(flags, F.col(f"_{name}.period") == F.col(f"_{name}_period"), "left")
+        placed = placed.join(F.broadcast(flags), F.col(f"_{name}.period") == F.col(f"_{name}_period"), "left")
     chosen = F.when(F.col("_before").isNotNull() & F.col("_before_done").isNull(), F.col("_before.period")).when(
         F.col("_own_done").isNull() & (F.col("_own.first_day") < F.lit(end)), F.col("_own.period")
     )
@@ -144,12 +141,13 @@ def collect_range(
     """Repositories created in [start, end] by adaptive periods, best first within each.
 
     Known repositories are returned and count toward the limit. A shared bound day belongs to both
-    periods: its repositories come up twice, ``is_new`` only the first time.
+    periods: its repositories come up twice, ``is_new`` only the first time. A range no longer than
+    one step (one day too) is one period.
     """
     day = F.to_date("created_at")
     rows = candidates.where(F.col("stargazers_count") >= min_stars).where(day.between(F.lit(start), F.lit(end)))
     span, step = (end - start).days, D.adaptive_step(start, end)
-    if span > step or limit is None or limit > 1000:
+    if span > step:
         last = -(-span // step) - 1
         offset = F.datediff(day, F.lit(start))
         own = F.floor(offset / step).cast("int")
@@ -172,12 +170,8 @@ def collect_range(
 
 
 def rows_to_store(collected: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """New rows of a collection split into repositories, contributors and organizations, with
-    over-long descriptions cut."""
-    new = collected.where(F.col("is_new"))
-    if "description" in new.columns:
-        new = new.withColumn("description", truncate_utf8(F.col("description")))
-    return owner_split(new)
+    """New rows of a collection split into repositories, contributors and organizations."""
+    return owner_split(collected.where(F.col("is_new")))
 
 
 def _positions(tests: list[Column]) -> Column:
@@ -198,12 +192,12 @@ def collect_diverse(
     languages: list[str] = V.SAMPLE_LANGUAGES,
     min_forks: int = 0,
     created_after: date | None = None,
-    per_stratum: int = V.STRATUM_LIMIT,
+    per_stratum: int | None = None,
 ) -> DataFrame:
     """New repositories over age x stars x language strata.
 
-    Strata are visited by age, then stars, then language. Each offers its best ``per_stratum``
-    rows; of those, stored ids and ids met in an earlier stratum drop out. Visiting stops once the
+    Strata are visited by age, then stars, then language. Each offers its rows, or its
+    best ``per_stratum``; of those, stored ids and ids met in an earlier stratum drop out. Visiting stops once the
     target is reached. Bounds are inclusive, so a row can lie in up to four strata.
     """
     day = F.to_date("created_at")
@@ -223,7 +217,7 @@ def collect_diverse(
         )
         .drop("_language", "_age", "_stars")
     )
-    best = top_n_per_stratum(strata, ["stratum"], per_stratum).drop("rank")
+    best = strata if per_stratum is None else top_n_per_stratum(strata, ["stratum"], per_stratum).drop("rank")
     fresh = dedupe_ids(new_rows_only(best, stored), F.col("stratum"))
     return cap_whole_strata(fresh, "stratum", total_target)
 

@@ -161,7 +161,7 @@ def country_yearly_stats(
 ) -> DataFrame:
     """Per year and country: summed organization statistics.
 
-    Contributors are summed per organization, so a person active in two counts twice. Where a
+    ``org_stats`` has one row per year and organization. Contributors are summed per organization, so a person active in two counts twice. Where a
     country occurs under several regions, in order (none first, then by name): the metrics are
     those of the last region, the region label is the first.
     """
@@ -172,7 +172,7 @@ def country_yearly_stats(
     )
     per_region = rows.groupBy("year", "country_code", "region").agg(
         *[F.sum(name).alias(name) for name in SUMS],
-        F.count_distinct("organization_id").alias("number_organizations"),
+        F.count("organization_id").alias("number_organizations"),
     )
     order = F.coalesce("region", F.lit(""))
     names = SUMS[:4] + ["number_organizations"] + SUMS[4:]
@@ -195,9 +195,10 @@ def country_input_stats(
     )
 
 
-def repo_metrics(events: DataFrame, full_name: str, as_of: datetime) -> DataFrame:
-    """One row for one repository over the day before ``as_of``; zeros when nothing happened."""
-    rows = in_days(events, moment(as_of - timedelta(days=1)), moment(as_of)).where(
+def repo_metrics(events: DataFrame, full_name: str, until: datetime, since: datetime | None = None) -> DataFrame:
+    """One row for one repository over [since, until], by default the last day; zeros when nothing happened."""
+    since = until - timedelta(days=1) if since is None else since
+    rows = in_days(events, moment(since), moment(until)).where(
         F.col("repo.name") == full_name
     )
     login = F.col("actor.login")
@@ -224,18 +225,15 @@ def repo_events(
     until: datetime,
     since: datetime | None = None,
     event_types: list[str] | None = None,
-    limit: int = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The first events of one repository in [since, until].
-
-    A window of two days or more is cut to the last day, the default window.
-    """
-    if since is None or (until - since).days > 1:
-        since = until - timedelta(days=1)
+    """The events of one repository in [since, until], by default the last day; at most ``limit``, the first ones."""
+    since = until - timedelta(days=1) if since is None else since
     rows = in_days(events, moment(since), moment(until)).where(F.col("repo.name") == full_name)
     if event_types:
         rows = rows.where(F.col("type").isin(event_types))
-    return event_projection(rows).orderBy("created_at", "id").limit(limit)
+    found = event_projection(rows)
+    return found if limit is None else found.orderBy("created_at", "id").limit(limit)
 
 
 def flatten(events: DataFrame) -> DataFrame:

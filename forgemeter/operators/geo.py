@@ -174,7 +174,7 @@ def country_last_part(text: Column, city: Column | None = None) -> Column:
     return country_rules(last_part(text), city)
 
 
-def _spread_null(key: Column, row: Column) -> Column:
+def spread_null(key: Column, row: Column) -> Column:
     """A join key whose nulls become distinct unmatched values, so they do not share one task."""
     return F.coalesce(key, F.concat(F.lit("\u0000"), row.cast("string")))
 
@@ -216,7 +216,7 @@ def resolve_locations(
                 F.col("text").alias("_key"), F.col("service_country").alias(f"{part}_found")
             )
             texts = texts.join(
-                found, _spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
+                found, spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
             ).drop("_key")
         answers = [answers[0], F.col("text_found"), answers[1], F.col("tail_found")]
     resolved = texts.withColumn("_country", F.coalesce(*answers))
@@ -275,7 +275,7 @@ def _with_countries(texts: DataFrame, countries: DataFrame | None) -> DataFrame:
             F.col("key").alias("_key"), F.col("country_code").alias(f"{part}_country")
         )
         texts = texts.join(
-            named, _spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
+            named, spread_null(F.col(part), F.col("location")) == F.col("_key"), "left"
         ).drop("_key")
     return texts
 
@@ -359,7 +359,7 @@ def backfill_country(entities: DataFrame, resolved: DataFrame, pending: DataFram
     else:
         may_change = F.col("country_code").isNull()
     key = F.when(may_change, F.col("location"))
-    joined = target.join(dim, _spread_null(key, F.col("id")) == F.col("_location"), "left")
+    joined = target.join(dim, spread_null(key, F.col("id")) == F.col("_location"), "left")
     changed = may_change & F.col("_country").isNotNull()
     columns = [
         F.when(changed, F.col("_country")).otherwise(F.col(name)).alias(name)

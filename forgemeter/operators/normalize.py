@@ -159,13 +159,15 @@ def owner_split(repositories: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     """Normalised repositories to (repositories with organization_id, contributors, organizations).
 
     Every owner becomes a contributor named by its login; organizations get a row of their own.
-    One row per id, combined map-side, so an owner of very many repositories is no hot spot.
+    One row per id: login and type come from one record, that of the lowest repository id with a
+    login. They are combined map-side, so an owner of very many repositories is no hot spot.
     """
     is_org = F.col("owner_type") == "Organization"
     repos = repositories.withColumn("organization_id", F.when(is_org, F.col("owner_id")))
-    owners = repositories.where(F.col("owner_id").isNotNull()).groupBy(F.col("owner_id").alias("id")).agg(
-        F.min("owner_login").alias("login"), F.min("owner_type").alias("type")
-    )
+    account = F.struct(F.col("owner_login").alias("login"), F.col("owner_type").alias("type"))
+    order = F.struct(F.col("owner_login").isNull(), F.col("owner_type").isNull(), "id", "owner_login", "owner_type")
+    owned = repositories.where(F.col("owner_id").isNotNull()).groupBy(F.col("owner_id").alias("id"))
+    owners = owned.agg(F.min_by(account, order).alias("account")).select("id", "account.*")
     contributors = owners.select("id", "login", F.col("login").alias("name"), "type")
     organizations = owners.where(F.col("type") == "Organization").select(
         "id", "login", F.col("login").alias("name")
@@ -174,54 +176,32 @@ def owner_split(repositories: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def repo_bundle(
-    repositories: DataFrame,
-    organizations: DataFrame,
-    links: DataFrame,
-    contributors: DataFrame,
-    chunk_size: int = 10_000,
-) -> DataFrame:
-    """Repositories with their organization and their contributors as a list.
-
-    One row per repository. A repository with more contributors than ``chunk_size`` has its list
-    split by contributor over several rows (``chunk`` 0, 1, …), so that no list, and no task
-    building one, grows without bound. ``contributors_count`` is the total on every row.
+    repositories: DataFrame, organizations: DataFrame, links: DataFrame, contributors: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Repositories with their organization and totals, and their contributors as a table keyed by repository.
+
+    One row per repository, with ``contributors_count`` and ``contributions``, and one row per link of a
+    known contributor: no list grows with a popular repository, and totals are combined map-side.
     """
     people = contributors.select(F.col("id").alias("contributor_id"), "login")
     known = links.select("repository_id", "contributor_id", "contributions").join(people, "contributor_id")
+    known = known.select("repository_id", "contributor_id", "login", "contributions")
     totals = known.groupBy(F.col("repository_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("contributors_count")
-    )
-    # Only repositories over the chunk size need a chunk number, and the join that brings it is
-    # salted: neither it nor the grouping after it puts all links of one repository in one task.
-    salts = 64
-    split = totals.where(F.col("contributors_count") > chunk_size).select(
-        F.col("id").alias("repository_id"),
-        F.ceil(F.col("contributors_count") / chunk_size).alias("_chunks"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    spread = F.xxhash64("contributor_id")
-    listed = (
-        known.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-        .join(split, ["repository_id", "_salt"], "left")
-        .withColumn("chunk", F.coalesce(F.pmod(F.shiftright(spread, 8), "_chunks"), F.lit(0)).cast("int"))
-        .groupBy(F.col("repository_id").alias("id"), "chunk")
-        .agg(F.collect_list(F.struct("contributor_id", "login", "contributions")).alias("contributors"))
+        F.count(F.lit(1)).alias("contributors_count"), F.sum("contributions").alias("contributions")
     )
     orgs = organizations.select(
         F.col("id").alias("_org"), F.struct("id", "login", "location").alias("organization")
     )
     # Repositories without an organization get keys of their own instead of sharing the null.
     org_key = F.coalesce("organization_id", -F.col("id") - 1)
-    empty = F.array().cast("array<struct<contributor_id: bigint, login: string, contributions: bigint>>")
-    return (
+    bundles = (
         repositories.withColumn("_org", org_key)
         .join(orgs, "_org", "left")
         .drop("_org")
         .join(totals, "id", "left")
-        .join(listed, "id", "left")
-        .withColumn("contributors", F.coalesce("contributors", empty))
-        .na.fill(0, ["chunk", "contributors_count"])
+        .na.fill(0, ["contributors_count", "contributions"])
     )
+    return bundles, known
 
 
 def repo_names(repositories: DataFrame) -> DataFrame:

@@ -68,10 +68,25 @@ def search_repos(
     page: int = 1,
     max_results: int | None = None,
 ) -> DataFrame:
-    """Typed repository search; days are inclusive, languages compare without case.
+    """Typed repository search: one page of results, or the first ``max_results`` from that page on."""
+    found = matching_repos(repositories, min_stars, max_stars, min_forks, created_after, created_before, language)
+    ranked = found.orderBy(*sorted_by(sort, order))
+    skipped = (page - 1) * per_page
+    if skipped:
+        ranked = ranked.offset(skipped)
+    return ranked.limit(per_page if max_results is None else max_results)
 
-    One page of results, or the first ``max_results`` from that page on.
-    """
+
+def matching_repos(
+    repositories: DataFrame,
+    min_stars: int | None = None,
+    max_stars: int | None = None,
+    min_forks: int | None = None,
+    created_after: str | None = None,
+    created_before: str | None = None,
+    language: str | None = None,
+) -> DataFrame:
+    """All repositories a search finds; days are inclusive, languages compare without case."""
     found = repositories
     if min_stars is not None:
         found = found.where(F.col("stargazers_count") >= min_stars)
@@ -86,11 +101,7 @@ def search_repos(
         found = found.where(F.col("created_at") < after)
     if language is not None:
         found = found.where(F.lower("language") == language.lower())
-    ranked = found.orderBy(*sorted_by(sort, order))
-    skipped = (page - 1) * per_page
-    if skipped:
-        ranked = ranked.offset(skipped)
-    return ranked.limit(per_page if max_results is None else max_results)
+    return found
 
 
 def search_repos_since(
@@ -98,15 +109,13 @@ def search_repos_since(
     min_stars: int = 10,
     created_after: str = "2014-01-01",
     language: str | None = None,
-    limit: int = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
-    return search_repos(
-        repositories,
-        min_stars=min_stars,
-        created_after=created_after,
-        language=language,
-        max_results=limit,
-    )
+    """Repositories created since a day, best first up to ``limit``; all of them without one."""
+    wanted = {"min_stars": min_stars, "created_after": created_after, "language": language}
+    if limit is None:
+        return matching_repos(repositories, **wanted)
+    return search_repos(repositories, **wanted, max_results=limit)
 
 
 def select_repos(

@@ -43,11 +43,16 @@ INSERT_DEFAULTS = {
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """The row with the lowest order value of every key."""
+    """The row with the lowest order value of every key.
+
+    Rows without an order value come last, and equal ones are told apart by a hash of the whole row, so
+    the same row wins in every run.
+    """
     rest = [name for name in df.columns if name not in keys]
+    place = F.struct(order.isNull(), order, F.xxhash64(*df.columns))
     return (
         df.groupBy(*keys)
-        .agg(F.min_by(F.struct(*rest), order).alias("_row"))
+        .agg(F.min_by(F.struct(*rest), place).alias("_row"))
         .select(*keys, *[F.col(f"_row.{name}").alias(name) for name in rest])
         .select(*df.columns)
     )
@@ -137,13 +142,13 @@ def upsert_repositories(stored: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 # ---- accounts and links -----------------------------------------------------------------------
-def insert_contributors(stored: DataFrame, new: DataFrame, order: str = "id") -> DataFrame:
-    """Adds accounts with unknown ids (the first of several); stored accounts stay as they are."""
+def insert_contributors(stored: DataFrame, new: DataFrame, order: str) -> DataFrame:
+    """Adds accounts with unknown ids (of several the first by ``order``); stored accounts stay as they are."""
     return insert_missing(stored, first_per_key(new, ["id"], F.col(order)), ["id"])
 
 
 def insert_organizations(
-    stored: DataFrame, new: DataFrame, order: str = "id", description_as_bio: bool = False
+    stored: DataFrame, new: DataFrame, order: str, description_as_bio: bool = False
 ) -> DataFrame:
     if description_as_bio:
         new = new.withColumnRenamed("description", "bio")
@@ -167,16 +172,17 @@ def link_contributor_org(stored: DataFrame, new: DataFrame, as_of: datetime) ->
 
 # ---- statistics ---------------------------------------------------------------------------------
 def _replace_metrics(stored: DataFrame, fresh: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    values = fresh.select(*keys, F.struct(*metrics).alias("_new"))
-    changed = stored.join(values, keys, "left").select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name)
-            if name in metrics
-            else F.col(name)
-            for name in stored.columns
-        ]
-    )
-    return changed.unionByName(fresh.join(stored.select(*keys), keys, "left_anti").select(*stored.columns))
+    """One full outer join: metrics from the fresh row where there is one, the rest from the stored row."""
+    others = [name for name in stored.columns if name not in keys]
+    old = stored.select(*keys, F.struct(*others).alias("_old"))
+    new = fresh.select(*keys, F.struct(*others).alias("_new"))
+
+    def chosen(name: str) -> Column:
+        first, second = ("_new", "_old") if name in metrics else ("_old", "_new")
+        return F.when(F.col(first).isNotNull(), F.col(f"{first}.{name}")).otherwise(F.col(f"{second}.{name}"))
+
+    merged = old.join(new, keys, "full_outer")
+    return merged.select(*[F.col(name) if name in keys else chosen(name).alias(name) for name in stored.columns])
 
 
 def upsert_org_yearly_stats(stored: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -27,9 +27,11 @@ STAT_COLUMNS = "number_repos, forks, stars, number_contributors"
 )
 def scan_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archive")
-    A.write_archive(S.events(spark, sf_dir), path)
+    events = S.events(spark, sf_dir)
+    A.write_archive(events, path)
+    schema = events.withColumn("day", F.lit("")).schema
     found = A.scan_archive(
-        spark, path, "20240105", "20240112", "2024-01-05 06:00:00", "2024-01-12 18:00:00"
+        spark, path, "20240105", "20240112", "2024-01-05 06:00:00", "2024-01-12 18:00:00", schema
     )
     return found.select("id", "type", time_text("created_at"))
 
@@ -61,8 +63,7 @@ def _newest_repository(spark, sf_dir):
        FROM archive, (SELECT repo_name AS wanted, max(created_at) AS latest FROM archive
                       WHERE repo_id = (SELECT max(repo_id) FROM archive) GROUP BY 1)
        WHERE repo_name = wanted AND type IN ('PushEvent', 'WatchEvent', 'ForkEvent')
-         AND created_at BETWEEN latest - INTERVAL 1 DAY AND latest
-       ORDER BY archive.created_at, id LIMIT 100""",
+         AND created_at BETWEEN latest - INTERVAL 30 DAY AND latest""",
 )
 def repo_events(spark, sf_dir):
     events = S.archive_events(spark, sf_dir)
@@ -80,12 +81,12 @@ def repo_events(spark, sf_dir):
               count(DISTINCT id) FILTER (type = 'PushEvent') AS commits
        FROM archive, (SELECT repo_name AS wanted, max(created_at) AS latest FROM archive
                       WHERE repo_id = (SELECT max(repo_id) FROM archive) GROUP BY 1)
-       WHERE repo_name = wanted AND created_at BETWEEN latest - INTERVAL 1 DAY AND latest""",
+       WHERE repo_name = wanted AND created_at BETWEEN latest - INTERVAL 30 DAY AND latest""",
 )
 def repo_metrics(spark, sf_dir):
     events = S.archive_events(spark, sf_dir)
     name, until = _newest_repository(spark, sf_dir)
-    return E.repo_metrics(events, name, until)
+    return E.repo_metrics(events, name, until, until - timedelta(days=30))
 
 
 # ---- yearly statistics ---------------------------------------------------------------------------

@@ -82,8 +82,10 @@ def normalize_contributor(spark, sf_dir):
 
 @check(
     "owner_split",
-    f"""WITH r AS ({RECORDS}), o AS (SELECT owner_id AS id, min(owner_login) AS login,
-                                            min(owner_type) AS type FROM r WHERE owner_id IS NOT NULL GROUP BY 1)
+    f"""WITH r AS ({RECORDS}), o AS (
+          SELECT owner_id AS id, first(owner_login ORDER BY owner_login IS NULL, owner_type IS NULL, id) AS login,
+                 first(owner_type ORDER BY owner_login IS NULL, owner_type IS NULL, id) AS type
+          FROM r WHERE owner_id IS NOT NULL GROUP BY 1)
         SELECT 'repository' AS kind, id, full_name AS label,
                CASE WHEN owner_type = 'Organization' THEN CAST(owner_id AS VARCHAR) END AS organization FROM r
         UNION ALL SELECT 'contributor', id, login, NULL FROM o
@@ -105,24 +107,30 @@ def owner_split(spark, sf_dir):
 
 @check(
     "repo_bundle",
-    """SELECT r.id, full_name, max(o.login) AS organization, count(l.contributor_id) AS contributors_count,
+    """SELECT 'repository' AS kind, r.id, full_name AS label, max(o.login) AS other, count(l.contributor_id) AS links,
               CAST(coalesce(sum(l.contributions), 0) AS BIGINT) AS contributions
        FROM repositories r LEFT JOIN organizations o ON o.id = r.organization_id
        LEFT JOIN contributor_repository l ON l.repository_id = r.id
-       GROUP BY 1, 2""",
+       GROUP BY r.id, full_name
+       UNION ALL SELECT 'contributor', l.repository_id, c.login, NULL, l.contributor_id, l.contributions
+       FROM contributor_repository l JOIN contributors c ON c.id = l.contributor_id""",
 )
 def repo_bundle(spark, sf_dir):
-    bundle = J.repo_bundle(
+    bundles, people = J.repo_bundle(
         repos(spark, sf_dir),
         S.organizations(spark, sf_dir),
         S.contributor_repository(spark, sf_dir),
         S.contributors(spark, sf_dir),
     )
-    total = F.aggregate("contributors", F.lit(0).cast("bigint"), lambda n, c: n + c["contributions"])
-    return bundle.select(
-        "id", "full_name", F.col("organization.login").alias("organization"),
-        F.col("contributors_count").cast("bigint").alias("contributors_count"), total.alias("contributions"),
+    first = bundles.select(
+        F.lit("repository").alias("kind"), "id", F.col("full_name").alias("label"),
+        F.col("organization.login").alias("other"), F.col("contributors_count").alias("links"), "contributions",
     )
+    second = people.select(
+        F.lit("contributor").alias("kind"), F.col("repository_id").alias("id"), F.col("login").alias("label"),
+        F.lit(None).cast("string").alias("other"), F.col("contributor_id").alias("links"), "contributions",
+    )
+    return first.unionByName(second)
 
 
 # ---- upserts -----------------------------------------------------------------------------------------

@@ -106,8 +106,7 @@ def search_repos(spark, sf_dir):
 @check(
     "search_repos_since",
     f"""SELECT {REPO} FROM repositories
-        WHERE stargazers_count >= 2000 AND lower(language) = 'go' AND created_at >= TIMESTAMP '1997-01-01'
-        ORDER BY stargazers_count DESC, id LIMIT 1000""",
+        WHERE stargazers_count >= 2000 AND lower(language) = 'go' AND created_at >= TIMESTAMP '1997-01-01'""",
 )
 def search_repos_since(spark, sf_dir):
     return R.search_repos_since(repos(spark, sf_dir), 2000, "1997-01-01", "Go").select(REPO_COLUMNS)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import day_suffix
+from ..schemas import ARCHIVE_EVENTS
 
 
 def write_archive(events: DataFrame, path: str) -> None:
@@ -24,12 +26,12 @@ def scan_archive(
     last_day: str,
     since: str | None = None,
     until: str | None = None,
+    schema: str | StructType = ARCHIVE_EVENTS,
 ) -> DataFrame:
     """Events of the day partitions in [first_day, last_day] (``yyyyMMdd``), optionally within
-    [since, until]. The day test prunes partitions, the time test reaches the scan."""
-    events = spark.read.option("basePath", path).parquet(path).withColumn(
-        "day", F.col("day").cast("string")
-    )
+    [since, until]. The day test prunes partitions, the time test reaches the scan;
+    the schema is given, not read from the files."""
+    events = spark.read.schema(schema).option("basePath", path).parquet(path)
     events = events.where(F.col("day").between(first_day, last_day))
     if since is not None:
         events = events.where(F.col("created_at") >= since)

@@ -49,13 +49,20 @@ def located(accounts: DataFrame) -> DataFrame:
     points = geo.location_info(places).select(
         "location", F.col("latitude").alias("location_lat"), F.col("longitude").alias("location_lon")
     )
-    return accounts.join(countries, "location", "left").join(points, "location", "left")
+    return _by_location(_by_location(accounts, countries), points)
+
+
+def _by_location(accounts: DataFrame, facts: DataFrame) -> DataFrame:
+    """A left join on the location; accounts without one get keys of their own and so many tasks."""
+    key = geo.spread_null(F.col("location"), F.col("id"))
+    facts = facts.withColumnRenamed("location", "_key")
+    return accounts.withColumn("_key", key).join(facts, "_key", "left").drop("_key")
 
 
 def with_countries(accounts: DataFrame) -> DataFrame:
     """Accounts with country and region of their location."""
     countries = geo.resolve_locations(geo.distinct_locations(accounts))
-    return accounts.join(countries, "location", "left")
+    return _by_location(accounts, countries)
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,20 +1,19 @@
-"""Where jobs put intermediate tables: the shared folder named by the session."""
+"""Where jobs put intermediate tables: a folder that the driver and all executors share."""
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-@functools.cache
-def _single_machine_folder() -> str:
-    return tempfile.mkdtemp(prefix="forgemeter-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which is shared too."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; a local folder only where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _single_machine_folder()
-    return f"{base.rstrip('/')}/forgemeter/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, grouped by application so that a finished one's can be removed."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/forgemeter/{application}/{label}-{uuid.uuid4().hex}"

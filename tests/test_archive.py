@@ -84,13 +84,13 @@ def test_metrics_of_an_idle_repository_are_zero(events):
     assert tuple(E.repo_metrics(events, "acme/repo1", datetime(2020, 5, 2, 12)).first()) == (0, 1, 1)
 
 
-def test_event_window_is_cut_from_two_days_on(events):
-    def ids(since):
-        rows = E.repo_events(events, "acme/repo1", datetime(2020, 5, 3), datetime.fromisoformat(since))
-        return [r["id"] for r in rows.collect()]
+def test_event_window_is_read_whole(events):
+    def ids(since, limit=None):
+        rows = E.repo_events(events, "acme/repo1", datetime(2020, 5, 3), datetime.fromisoformat(since), limit=limit)
+        return sorted(r["id"] for r in rows.collect())
 
     assert ids("2020-05-01 09:00:00") == ["1", "2"]
-    assert ids("2020-05-01 00:00:00") == ["2"]
+    assert ids("2020-05-01 00:00:00") == ["1", "2"] and ids("2020-05-01 00:00:00", 1) == ["1"]
 
 
 def test_archive_prunes_partitions_and_columns(spark, events):

@@ -53,18 +53,29 @@ def test_account_defaults(spark):
     assert tuple(person) == (1, "a", "", "User", False, 0, "")
 
 
-def test_repo_bundle_splits_long_lists_without_losing_any(spark):
+def test_repo_bundle_has_one_row_per_repository_and_all_links(spark):
     people = spark.range(500).select("id", F.concat(F.lit("u"), "id").alias("login"))
     links = people.select(F.lit(1).cast("long").alias("repository_id"), F.col("id").alias("contributor_id"), F.lit(2).cast("long").alias("contributions"))
     links = links.unionByName(links.where("contributor_id < 3").withColumn("repository_id", F.lit(2).cast("long")))
     orgs = spark.createDataFrame([(9, "org", "Berlin")], "id long, login string, location string")
     table = repos(spark, [(1, "Go", 1, 1, 9, "2020-01-01"), (2, "Go", 1, 1, None, "2020-01-01"), (3, "Go", 1, 1, None, "2020-01-01")])
-    rows = J.repo_bundle(table, orgs, links, people, chunk_size=50).collect()
-    first = [r for r in rows if r["id"] == 1]
-    assert len(first) > 5 and {r["contributors_count"] for r in first} == {500}
-    assert sorted(c["contributor_id"] for r in first for c in r["contributors"]) == list(range(500))
-    assert [(r["chunk"], len(r["contributors"]), r["organization"]) for r in rows if r["id"] == 2] == [(0, 3, None)]
-    assert [(r["contributors"], r["contributors_count"]) for r in rows if r["id"] == 3] == [([], 0)]
+    bundles, known = J.repo_bundle(table, orgs, links, people)
+    found = {r["id"]: (r["contributors_count"], r["contributions"], r["organization"] and r["organization"]["login"]) for r in bundles.collect()}
+    assert bundles.count() == 3 and found == {1: (500, 1000, "org"), 2: (3, 6, None), 3: (0, 0, None)}
+    assert known.where("repository_id = 1").count() == 500 and known.where("repository_id = 2").count() == 3
+
+
+def test_owner_split_takes_one_record_per_owner(spark):
+    rows = [(1, 7, None, "User"), (2, 7, "zed", "Organization"), (3, 7, "amy", "User"), (4, None, None, None)]
+    table = spark.createDataFrame(rows, "id long, owner_id long, owner_login string, owner_type string")
+    _, people, orgs = J.owner_split(table)
+    assert [tuple(r) for r in people.collect()] == [(7, "zed", "zed", "Organization")]
+    assert [tuple(r) for r in orgs.collect()] == [(7, "zed", "zed")]
+
+
+def test_first_per_key_keeps_rows_without_an_order(spark):
+    rows = spark.createDataFrame([(1, "x", None), (2, "b", 2), (2, "a", 1), (2, "c", None)], "id long, login string, seq int")
+    assert sorted((r.id, r.login) for r in U.first_per_key(rows, ["id"], F.col("seq")).collect()) == [(1, "x"), (2, "a")]
 
 
 # ---- upserts ---------------------------------------------------------------------------------------------
@@ -95,9 +106,9 @@ def test_repository_upsert_rules(spark):
 def test_inserts_are_idempotent(spark):
     stored = spark.createDataFrame([(1, "a")], "id long, login string")
     new = spark.createDataFrame([(1, "x"), (2, "b"), (2, "b")], "id long, login string")
-    once = U.insert_contributors(stored, new)
+    once = U.insert_contributors(stored, new, "login")
     assert sorted(map(tuple, once.collect())) == [(1, "a"), (2, "b")]
-    assert U.insert_contributors(once, new).count() == 2
+    assert U.insert_contributors(once, new, "login").count() == 2
     links = spark.createDataFrame([(1, 1, 5)], "contributor_id long, repository_id long, contributions long")
     more = spark.createDataFrame([(1, 1, 9), (2, 1, None)], links.schema)
     assert sorted(map(tuple, U.link_contributor_repo(links, more).collect())) == [(1, 1, 5), (2, 1, 0)]
@@ -106,7 +117,7 @@ def test_inserts_are_idempotent(spark):
 def test_organization_description_becomes_bio(spark):
     stored = spark.createDataFrame([(1, "a", "b")], "id long, login string, bio string")
     new = spark.createDataFrame([(2, "c", "d")], "id long, login string, description string")
-    assert sorted(map(tuple, U.insert_organizations(stored, new, description_as_bio=True).collect()))[1] == (2, "c", "d")
+    assert sorted(map(tuple, U.insert_organizations(stored, new, "id", description_as_bio=True).collect()))[1] == (2, "c", "d")
 
 
 def test_anti_and_semi_make_the_whole(spark):
@@ -164,7 +175,10 @@ def test_range_collection_returns_known_rows_and_repeats_boundary_days(spark):
     assert found == [(0, 1, True), (0, 2, False), (1, 1, False), (1, 3, True)]
     single = C.collect_range(table, table.where("id = 2"), date(2020, 1, 1), date(2020, 1, 2), limit=1).collect()
     assert [(r["id"], r["is_new"]) for r in single] == [(1, True)]
-    assert C.collect_range(table, table, date(2020, 1, 2), date(2020, 1, 2)).count() == 0
+    for limit in (1000, 1001, None):
+        day = C.collect_range(table, table, date(2020, 1, 2), date(2020, 1, 2), limit)
+        assert [(r["id"], r["period_no"]) for r in day.collect()] == [(1, 0)]
+        assert C.collect_range(table, table, date(2020, 1, 1), date(2020, 1, 3), limit).count() == 4
 
 
 def test_star_ranges_give_bounds_to_the_lower_range(spark):
@@ -172,13 +186,11 @@ def test_star_ranges_give_bounds_to_the_lower_range(spark):
     assert [r[0] for r in df.select(D.star_range(F.col("s"))).collect()] == [None, 0, 0, 1, 1, 6, 7, 7]
 
 
-def test_large_totals_agree_with_sorted_limit(spark, monkeypatch):
+def test_totals_agree_with_a_sorted_limit(spark):
     table = repos(spark, [(i, "Go", i * 7 % 50, 1, None, "2020-01-01") for i in range(300)]).withColumn("stratum", (F.col("id") % 7).cast("int"))
     for total in (0, 1, 42, 43, 100, 299, 300, 999):
-        monkeypatch.setattr(C, "SORTED_LIMIT", 10**6)
-        short = sorted(r["id"] for r in C.cap_total(table, "stratum", total).collect())
-        monkeypatch.setattr(C, "SORTED_LIMIT", -1)
-        assert sorted(r["id"] for r in C.cap_total(table, "stratum", total).collect()) == short
+        wanted = table.orderBy("stratum", F.desc("stargazers_count"), "id").limit(total)
+        assert sorted(r["id"] for r in C.cap_total(table, "stratum", total).collect()) == sorted(r["id"] for r in wanted.collect())
     assert C.cap_total(table, "stratum", None).count() == 300
 
 
