@@ -33,7 +33,7 @@ from .common import WORD, id_order, stored, text_hash
 MIN_WORDS = 20
 BLANKS = " \t\n\v\f\r"
 RARE = 64
-#: A first holder's lines are handed to so many groups of later documents at most.
+#: Groups that a line's, or a first holder's, documents are dealt to at most.
 HOLDER_SALTS = 64
 _KEY = ["_id", "_hash"]
 
@@ -145,11 +145,15 @@ def line_tables(docs: DataFrame) -> DataFrame:
 
 def candidate_pairs(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """Rows (later_id, later_hash, earlier_id)."""
-    held = tables.select("_id", F.explode(F.array_distinct("keys")).alias("line"))
-    shared = held.groupBy("line").agg(F.count("*").alias("docs"), F.min("_id").alias("first")).filter("docs > 1")
-    lines = tables.select(*_KEY, F.posexplode(F.arrays_zip("keys", "words")).alias("place", "entry"))
-    lines = lines.select(*_KEY, "place", F.col("entry.keys").alias("line"), F.col("entry.words").alias("words"))
-    lines = lines.join(shared, "line").withColumn("frequent", F.col("docs") > rare)
+    salt = F.pmod(F.xxhash64("_id"), F.lit(HOLDER_SALTS)).alias("salt")
+    held = tables.select("_id", salt, F.explode(F.array_distinct("keys")).alias("line"))
+    salted = held.groupBy("line", "salt").agg(F.count("*").alias("docs"), F.min("_id").alias("first"))
+    shared = salted.groupBy("line").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter("docs > 1")
+    # What is known of a line goes to every salt that has it, so a line of a third of all documents is no hot key.
+    shared = salted.select("line", "salt").join(shared, "line")
+    lines = tables.select(*_KEY, salt, F.posexplode(F.arrays_zip("keys", "words")).alias("place", "entry"))
+    lines = lines.select(*_KEY, "salt", "place", F.col("entry.keys").alias("line"), F.col("entry.words").alias("words"))
+    lines = lines.join(shared, ["line", "salt"]).withColumn("frequent", F.col("docs") > rare)
     stretch = F.col("place") - F.row_number().over(Window.partitionBy(*_KEY).orderBy("place"))
     lines = lines.withColumn("stretch", stretch)
     lines = lines.withColumn("total", F.sum("words").over(Window.partitionBy(*_KEY, "stretch"))).filter(F.col("total") >= min_words)
