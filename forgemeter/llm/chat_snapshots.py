@@ -6,10 +6,11 @@ role and text to running sums, so a prefix hash costs one addition per turn and
 prefix hashes keep maximal conversations (of equal ones the least id), and only these are rendered.
 
 Running sums go in two levels, blocks of turns first, so a conversation with a third of all turns is
-spread over many groups; rendering gives one row per block of ``PART_TURNS`` turns for the same reason.
+spread over many groups; rendering gives one row per block of ``PART_TURNS`` turn numbers (``part``, null for
+turns without a number) for the same reason. Until then hashes stand for the texts.
 Equal conversations are counted before the anti-join, so a very common one is one row there.
 
-Defined cases: turns are ordered by turn (null last), role, text; a turn logged twice counts once; null roles
+Defined cases: turns are ordered by turn (null last), role, hash; a turn logged twice counts once; null roles
 and texts are told from empty ones and render as empty; a turn without a conversation id is a conversation
 of its own; an empty table gives no rows; extra columns are ignored.
 """
@@ -21,18 +22,27 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import stored
 
 PART_TURNS = 1024
-_TURN = ["conv", "conv_id", "turn", "role", "text"]
 _SUMS = ["s0", "s1", "s2", "s3"]
 
 
-def turns(chats: DataFrame) -> DataFrame:
-    """Distinct turns with ``conv``, a key that is never null, and the block of their turn number."""
-    text, role = F.col("text").cast("string"), F.col("role").cast("string")
-    lone = F.md5(F.to_json(F.struct(F.col("turn").alias("n"), role.alias("role"), text.alias("text")), {"ignoreNullFields": "false"}).cast("binary"))
+def keyed(chats: DataFrame) -> DataFrame:
+    """Turns with ``conv``, a key that is never null, the block of their turn number, and two hashes of the turn."""
+    text, role, turn = F.col("text").cast("string"), F.col("role").cast("string"), F.col("turn").cast("long")
+    lone = F.md5(F.to_json(F.struct(turn.alias("n"), role.alias("role"), text.alias("text")), {"ignoreNullFields": "false"}).cast("binary"))
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.concat(F.lit("n"), lone))
-    rows = chats.select(conv.alias("conv"), F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    block = F.coalesce(F.floor(F.col("turn") / F.lit(float(PART_TURNS))), F.lit(2**62)).cast("long")
-    return rows.distinct().withColumn("block", block)
+    block = F.coalesce(F.floor(turn / F.lit(float(PART_TURNS))), F.lit(2**62)).cast("long")
+    known = [turn.isNull(), turn, role.isNull(), role, text.isNull(), text]
+    hashes = [F.xxhash64(F.lit(seed), *known).alias(f"h{seed}") for seed in (0, 1)]
+    said = [F.xxhash64(F.lit(seed), *known[2:]).alias(f"said{seed}") for seed in (0, 1)]
+    return chats.select(
+        conv.alias("conv"), F.col("conv_id").cast("long").alias("conv_id"), block.alias("block"), turn.alias("turn"),
+        role.alias("role"), text.alias("text"), *hashes, *said,
+    )
+
+
+def turns(chats: DataFrame) -> DataFrame:
+    """Distinct turns without their texts: hashes stand for them until the end."""
+    return keyed(chats).drop("text").distinct()
 
 
 def _before(rows: DataFrame, columns: dict[str, Column], label: str) -> DataFrame:
@@ -44,21 +54,20 @@ def _before(rows: DataFrame, columns: dict[str, Column], label: str) -> DataFram
 
 def prefixes(turn_rows: DataFrame) -> DataFrame:
     """Every turn with its position (1 first) and the hash of the conversation up to it."""
-    order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    order = [F.col("turn").asc_nulls_last(), F.col("role").asc_nulls_first(), "h0", "h1"]
     in_block = Window.partitionBy("conv", "block").orderBy(*order)
     numbered = turn_rows.join(_before(turn_rows, {"n": F.lit(1)}, "b_"), ["conv", "block"])
     numbered = numbered.withColumn("position", (F.row_number().over(in_block) + F.col("b_n")).cast("long")).drop("b_n")
-    known = [F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text")]
     halves = []
     for seed in (0, 1):
-        value = F.xxhash64(F.lit(seed), "position", *known)
+        value = F.xxhash64("position", f"said{seed}")
         halves += [F.shiftrightunsigned(value, 32), value.bitwiseAND(F.lit(0xFFFFFFFF))]
     numbered = numbered.withColumns(dict(zip(_SUMS, halves)))
     rolled = numbered.join(_before(numbered, {s: F.col(s) for s in _SUMS}, "b_"), ["conv", "block"])
     running = Window.partitionBy("conv", "block").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     parts = [(F.sum(s).over(running) + F.col(f"b_{s}")).cast("string") for s in _SUMS]
     prefix = F.md5(F.concat_ws(":", F.col("position").cast("string"), *parts).cast("binary"))
-    return rolled.withColumn("prefix", prefix).select(*_TURN, "position", "prefix")
+    return rolled.withColumn("prefix", prefix).select("conv", "conv_id", "block", "h0", "h1", "position", "prefix")
 
 
 def maximal(prefix_rows: DataFrame) -> DataFrame:
@@ -73,16 +82,24 @@ def maximal(prefix_rows: DataFrame) -> DataFrame:
     return kept.select(F.col("first.conv").alias("conv"), "n_turns", "n_logged")
 
 
-def render(kept_turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
-    """One row per conversation and part: its turns, in order, between role marks."""
-    part = F.floor((F.col("position") - 1) / F.lit(float(part_turns))).cast("int")
+def render(chats: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row per kept conversation and part: its turns, in order, between role marks.
+
+    ``kept`` has conv, block, h0, h1 and position of every turn to render. Texts are shuffled once, by
+    the same keys as the rows that they end in.
+    """
+    place = F.struct(F.struct("h0", "h1").alias("key"), F.col("position").alias("value"))
+    places = kept.groupBy("conv", "conv_id", "n_turns", "n_logged", "block").agg(F.map_from_entries(F.collect_list(place)).alias("places"))
+    texts = keyed(chats).select("conv", "block", "role", "text", F.struct("h0", "h1").alias("key"))
     marked = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")), F.lit("\n<|end|>\n"))
-    rows = kept_turns.select("conv", "conv_id", "n_turns", "n_logged", part.alias("part"), F.struct("position", marked.alias("turn_text")).alias("t"))
-    grouped = rows.groupBy("conv", "conv_id", "n_turns", "n_logged", "part").agg(F.sort_array(F.collect_list("t")).alias("ts"))
-    return grouped.select("conv_id", "part", "n_turns", "n_logged", F.array_join(F.transform("ts", lambda t: t["turn_text"]), "").alias("rendered"))
+    turn = F.struct(F.try_element_at("places", F.col("key")).alias("position"), marked.alias("turn_text"))
+    grouped = texts.join(places, ["conv", "block"]).groupBy("conv", "conv_id", "n_turns", "n_logged", "block")
+    rows = grouped.agg(F.sort_array(F.collect_set(turn)).alias("ts"))
+    part = F.when(F.col("block") < 2**62, F.col("block")).cast("int").alias("part")
+    return rows.select("conv_id", part, "n_turns", "n_logged", F.array_join(F.transform("ts", lambda t: t["turn_text"]), "").alias("rendered"))
 
 
 def formatted(chats: DataFrame) -> DataFrame:
     """conv_id, part, n_turns, n_logged, rendered of every maximal conversation."""
     rows = stored(prefixes(turns(chats)), "chat-prefixes")
-    return render(rows.join(maximal(rows), "conv"))
+    return render(chats, rows.join(maximal(rows), "conv"))
