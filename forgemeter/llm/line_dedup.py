@@ -5,8 +5,10 @@ id. A stretch is a run of consecutive lines that other documents have too. Only
 ``min_words`` words can hold a block worth deleting, so short common lines never make candidates. In such
 a stretch every rare line (in at most ``rare`` documents) anchors its document to the first document that
 holds the line. Frequent lines anchor only where a run of them alone reaches ``min_words``: that is the
-exact way for large groups of copies and for long passages that very many documents share. Every document is
-linked to first holders only, so pairs never grow with the square of a group.
+exact way for large groups of copies and for long passages that very many documents share. The lines of a block
+may have first holders of their own, none with the whole block, so every shortest run of lines that
+reaches ``min_words`` is also anchored to the run's first holder. Every document is linked to first holders only,
+so pairs never grow with the square of a group.
 
 Each pair is aligned by patience diff: lines unique on both sides, in longest increasing order, are
 fixed points; the gaps between them are aligned in the same way, and where no line is unique, the k-th
@@ -143,6 +145,22 @@ def line_tables(docs: DataFrame) -> DataFrame:
     return rows.groupBy(*_KEY).agg(F.first("keys").alias("keys"), F.first("words").alias("words"))
 
 
+def _run_anchors(lines: DataFrame, min_words: int) -> DataFrame:
+    """Documents with the first holder of each shortest run of several lines of a stretch with ``min_words`` words."""
+    # A run holds the lines that begin less than min_words words after its own first one: at most min_words lines.
+    words_before = F.sum("words").over(Window.partitionBy(*_KEY, "stretch").orderBy("place")) - F.col("words")
+    run = Window.partitionBy(*_KEY, "stretch").orderBy("words_before").rangeBetween(0, min_words - 1)
+    runs = lines.withColumn("words_before", words_before).select(
+        *_KEY, "salt", F.sum("words").over(run).alias("run_words"), F.collect_list("line").over(run).alias("run_lines")
+    )
+    runs = runs.filter((F.col("run_words") >= min_words) & (F.size("run_lines") > 1))
+    runs = runs.select(*_KEY, "salt", F.xxhash64("run_lines").alias("run"))
+    salted = runs.groupBy("run", "salt").agg(F.count("*").alias("runs"), F.min("_id").alias("first"))
+    shared = salted.groupBy("run").agg(F.sum("runs").alias("runs"), F.min("first").alias("first")).filter("runs > 1")
+    shared = salted.select("run", "salt").join(shared, "run")
+    return runs.join(shared, ["run", "salt"]).filter(F.col("first") != F.col("_id")).select(*_KEY, "first")
+
+
 def candidate_pairs(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """Rows (later_id, later_hash, earlier_id)."""
     salt = F.pmod(F.xxhash64("_id"), F.lit(HOLDER_SALTS)).alias("salt")
@@ -161,6 +179,7 @@ def candidate_pairs(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = R
     lines = lines.withColumn("run", run)
     lines = lines.withColumn("run_total", F.sum("words").over(Window.partitionBy(*_KEY, "frequent", "run")))
     anchors = lines.filter((~F.col("frequent") | (F.col("run_total") >= min_words)) & (F.col("first") != F.col("_id")))
+    anchors = anchors.select(*_KEY, "first").unionAll(_run_anchors(lines, min_words))
     return anchors.select(F.col("_id").alias("later_id"), F.col("_hash").alias("later_hash"), F.col("first").alias("earlier_id")).distinct()
 
 

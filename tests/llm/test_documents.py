@@ -108,6 +108,18 @@ def brute_line_dedup(rows, min_words, rare):
     for d, own in lines.items():
         for x in own:
             holders[x].add(d)
+    sizes = {d: [len(WORD.findall(x)) for x in own] for d, own in lines.items()}
+
+    def shortest(d, n):
+        """The run from line n on that reaches min_words, if it does."""
+        for end in range(n + 1, len(lines[d]) + 1):
+            if sum(sizes[d][n:end]) >= min_words:
+                return tuple(lines[d][n:end])
+
+    firsts = {}
+    for d in sorted(lines):
+        for n in range(len(lines[d])):
+            firsts.setdefault(shortest(d, n), d)
     out = {}
     for d, t in rows:
         own = lines[d]
@@ -122,10 +134,11 @@ def brute_line_dedup(rows, min_words, rare):
                     yield range(start, n)
                     start = None
 
-        size = [len(WORD.findall(x)) for x in own]
+        size = sizes[d]
         good = {n for r in runs(shared) if sum(size[k] for k in r) >= min_words for n in r}
         often = {n for r in runs([n in good and len(holders[x]) > rare for n, x in enumerate(own)]) if sum(size[k] for k in r) >= min_words for n in r}
-        partners = {min(holders[own[n]]) for n in good if len(holders[own[n]]) <= rare or n in often} - {d}
+        partners = {min(holders[own[n]]) for n in good if len(holders[own[n]]) <= rare or n in often}
+        partners = (partners | {firsts[run] for n in good if (run := shortest(d, n))}) - {d}
         gone = set()
         for p in partners:
             gone |= set(line_dedup.common_blocks(own, size, lines[p], min_words))
@@ -155,6 +168,14 @@ def test_line_dedup_cuts_copies_and_keeps_the_first(make_docs):
     assert got[4] == got[5] == "All rights reserved." and got[150] == "tail 150"
 
 
+def test_line_dedup_finds_a_block_whose_lines_have_other_first_holders(make_docs):
+    """Documents 1 and 2 hold one line each, 3 both but apart, 4 is the first with the block."""
+    a, b = ("\n".join(f"{x}{k} {x}{k} {x}{k} {x}{k} {x}{k} {x}{k}" for k in range(2)) for x in "ab")
+    texts = [f"{a}\nfirst alone", f"{b}\nsecond alone", f"{a}\nbetween\n{b}", f"head\n{a}\n{b}\ntail", f"{a}\n{b}\nlast"]
+    got = {r.doc_id: r.text for r in line_dedup.dedupe_lines(make_docs([(n, t, "en", "a") for n, t in enumerate(texts, 1)])).collect()}
+    assert [got[n] for n in range(1, 6)] == [*texts[:4], "last"]
+
+
 def test_line_dedup_odd_cases(odd_docs):
     out = line_dedup.dedupe_lines(odd_docs)
     assert out.count() == odd_docs.count() and set(odd_docs.columns) - {"gone"} <= set(out.columns)
