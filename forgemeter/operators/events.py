@@ -62,6 +62,24 @@ def org_yearly_stats(events: DataFrame, start_year: int = 2015, end_year: int =
     )
 
 
+def org_yearly_parts(events: DataFrame, start_year: int = 2015, end_year: int = 2023) -> DataFrame:
+    """What :func:`merged_parts` makes :func:`org_yearly_stats` of: distinct ids with their counts."""
+    rows = _of_orgs(in_years(events, start_year, end_year)).where(F.col("type").isin(STATS_TYPES))
+    return rows.groupBy(
+        _year(), _login(), F.col("repo.id").alias("repo_id"), F.col("actor.id").alias("actor_id")
+    ).agg(F.count_if(_is("ForkEvent")).alias("forks"), F.count_if(_is("WatchEvent")).alias("stars"))
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """The yearly statistics of all events that the parts were made from."""
+    return parts.groupBy("year", "organization_login").agg(
+        F.count_distinct("repo_id").alias("number_repos"),
+        F.sum("forks").alias("forks"),
+        F.sum("stars").alias("stars"),
+        F.count_distinct("actor_id").alias("number_contributors"),
+    )
+
+
 def org_yearly_commits(events: DataFrame, start_year: int = 2015, end_year: int = 2023) -> DataFrame:
     """Per year and organization: distinct commit hashes of pushes."""
     pushes = _of_orgs(in_years(events, start_year, end_year)).where(

@@ -79,28 +79,17 @@ def stream_org_upsert(
 ) -> StreamingQuery:
     """Keeps yearly organization statistics current as archive events arrive.
 
-    Distinct counts cannot be merged, so each batch is added to the archive and the (year,
-    organization) keys it touches are recomputed from there; the archive is laid out by year, and
-    the touched keys prune it. Both outputs of a batch carry its number and are overwritten when
-    the batch is repeated. :func:`current_stats` reads the result.
+    A batch is added to the archive, by year, and leaves its distinct (year, organization, repository,
+    actor) rows with their counts. Nothing of earlier batches is read, so the cost follows the batch. Both outputs
+    of a batch carry its number and are overwritten when the batch is repeated. :func:`current_stats`
+    merges the rows of all batches.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         batch.withColumn("year", F.year("created_at")).write.mode("overwrite").partitionBy(
             "year"
         ).parquet(f"{archive}/ingest={number}")
-        whole = spark.read.option("basePath", archive).parquet(archive).where(F.col("ingest") <= number)
-        keys = ["year", F.col(E.ORG).alias("login")]
-        touched = whole.where(F.col("ingest") == number).select(*keys).distinct().select(
-            F.col("year").alias("_year"), F.col("login").alias("_login")
-        )
-        affected = whole.join(
-            touched,
-            (F.col("year") == F.col("_year")) & (F.col(E.ORG) == F.col("_login")),
-            "left_semi",
-        ).drop("year", "ingest")
-        E.org_yearly_stats(affected, start_year, end_year).write.mode("overwrite").parquet(
+        E.org_yearly_parts(batch, start_year, end_year).write.mode("overwrite").parquet(
             f"{stats}/ingest={number}"
         )
 
@@ -113,11 +102,5 @@ def stream_org_upsert(
 
 
 def current_stats(spark: SparkSession, stats: str) -> DataFrame:
-    """The latest version of every (year, organization) row."""
-    versions = spark.read.option("basePath", stats).parquet(stats)
-    metrics = ["number_repos", "forks", "stars", "number_contributors"]
-    return (
-        versions.groupBy("year", "organization_login")
-        .agg(F.max_by(F.struct(*metrics), "ingest").alias("m"))
-        .select("year", "organization_login", "m.*")
-    )
+    """Per year and organization, over all batches: repositories, forks, stars and contributors."""
+    return E.merged_parts(spark.read.option("basePath", stats).parquet(stats))

@@ -81,3 +81,17 @@ def test_incremental_statistics_equal_batch(spark, sf_dir):
     found = I.current_stats(spark, stats).select(columns)
     assert found.count() == expected.count()
     assert found.exceptAll(expected).count() == 0
+
+
+def test_a_batch_of_statistics_reads_no_earlier_batch(spark, sf_dir):
+    """Earlier outputs are unreadable files here; a later batch is not disturbed by them."""
+    source, archive, stats, state = (fresh_path(spark, n) for n in ("src", "archive", "stats", "state"))
+    lines = S.table(spark, sf_dir, "lineitem")
+    for folder in (archive, stats):
+        spark.createDataFrame([("no parquet",)], "value string").write.text(f"{folder}/ingest=-1")
+    add_file(lines, source)
+    rows = I.file_stream(spark, source, lines.schema)
+    run(I.stream_org_upsert(S.archive_events(spark, sf_dir, rows), archive, stats, state, 1996, 2000))
+    expected = E.org_yearly_stats(S.archive_events(spark, sf_dir), 1996, 2000)
+    found = E.merged_parts(spark.read.parquet(f"{stats}/ingest=0")).select(expected.columns)
+    assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
