@@ -51,15 +51,14 @@ def stream_dedupe(
 ) -> StreamingQuery:
     """As ingest, but a key delivered again within the delay is dropped.
 
-    Rows older than the watermark are dropped too (see :func:`late_rows`); a batch rerun over the
-    archive repairs them.
+    Rows older than the watermark are dropped too (see :func:`late_rows`).
     """
     unique = _watermarked(rows, delay).dropDuplicatesWithinWatermark([key])
     return _append(unique, out, checkpoint)
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the query has dropped as later than its watermark."""
+    """Rows dropped as later than the watermark in the batches that the query still reports (Spark keeps the last 100)."""
     return sum(
         state["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
