@@ -78,7 +78,9 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> np
         centres = np.vstack([centres, vectors[nearest.argmin()]])
     for _ in range(rounds):
         nearest = (vectors @ centres.T).argmax(axis=1)
-        sums = np.stack([vectors[nearest == c].sum(axis=0) if (nearest == c).any() else centres[c] for c in range(len(centres))])
+        members = np.arange(len(centres))[:, None] == nearest
+        sums = members.astype(np.float32) @ vectors
+        sums = np.where(members.any(axis=1, keepdims=True), sums, centres)
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return centres.astype(np.float32)
 
@@ -154,15 +156,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Mo
     near = near.dropDuplicates(["lang", "place"])
 
     def fit_language(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        counts = [c for c in map(gram_counts, rows.sort_values("place")["text"].head(sample)) if c is not None]
-        if not counts:
+        texts = rows.sort_values("place")["text"].head(sample)
+        vectors, classes = np.zeros((len(texts), DIMENSIONS), np.float32), []
+        for text in texts:  # one vector of counts at a time
+            counts = gram_counts(text)
+            if counts is not None:
+                vectors[len(classes)] = unit_vector(counts, idf)
+                classes.append(length_class(counts))
+        if not classes:
             return pd.DataFrame({"lang": [], "centre": [], "classes": [], "similar": []})
-        vectors = np.stack([unit_vector(c, idf) for c in counts])
+        vectors = vectors[: len(classes)]
         centres = cluster(vectors, centroids)
         similar = (vectors @ centres.T).max(axis=1)
         none: list = []
         rows_out = [(key[0], c.tolist(), none, none) for c in centres]
-        rows_out.append((key[0], none, [length_class(c) for c in counts], similar.tolist()))
+        rows_out.append((key[0], none, classes, similar.tolist()))
         return pd.DataFrame(rows_out, columns=["lang", "centre", "classes", "similar"])
 
     schema = "lang string, centre array<float>, classes array<int>, similar array<float>"
