@@ -334,12 +334,16 @@ def stream_dedupe(spark, sf_dir):
 
 @check("stream_org_upsert", f"SELECT year, organization_login, {STAT_COLUMNS} FROM org_stats")
 def stream_org_upsert(spark, sf_dir):
-    schema = S.table(spark, sf_dir, "lineitem").schema
-    lines = I.file_stream(spark, f"{sf_dir}/lineitem*.parquet", schema)
-    archive, stats = fresh_path(spark, "stream-archive"), fresh_path(spark, "stream-stats")
-    I.stream_org_upsert(
-        S.archive_events(spark, sf_dir, lines), archive, stats, fresh_path(spark, "stream-state"), *YEARS
-    ).awaitTermination()
+    """Two deliveries whose organizations and repositories overlap; the stream is started anew for the second."""
+    lines = S.table(spark, sf_dir, "lineitem")
+    source, archive, stats, state = (
+        fresh_path(spark, f"stream-{name}") for name in ("source", "archive", "stats", "state")
+    )
+    delivery = F.pmod(F.hash("l_orderkey", "l_linenumber"), F.lit(2))
+    for number in range(2):
+        lines.where(delivery == number).write.mode("append").parquet(source)
+        rows = S.archive_events(spark, sf_dir, I.file_stream(spark, source, lines.schema))
+        I.stream_org_upsert(rows, archive, stats, state, *YEARS).awaitTermination()
     return I.current_stats(spark, stats)
 
 
