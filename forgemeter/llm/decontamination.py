@@ -4,8 +4,9 @@ A document is contaminated by a benchmark item of m characters if some region of
 k = floor(m * ERROR_RATE) edits of the whole item (both in lower case, white space as single spaces).
 By the q-gram lemma such a region shares at least (m - q + 1) - k q of the item's q-grams with it, all on
 diagonals at most k apart from its first one, so they lie in one of the overlapping bands of 2 w
-diagonals that begin at every multiple of w, for any w >= k. Bands with that many shared q-grams are
-kept and verified by a banded alignment with free ends in the text.
+diagonals that begin at every multiple of w, for any w >= k, and that band has room for the whole alignment.
+Bands with that many shared q-grams are kept, also those whose first w diagonals hold none of them, and
+verified by a banded alignment with free ends in the text; bands that overlap are verified as one.
 
 Items so short that the bound is not positive take a shorter q, and items shorter than that are searched
 for exactly. The benchmark is read in blocks of at most ``BLOCK_CHARS`` characters; a block's index is
@@ -130,23 +131,29 @@ def shared_bands(points: np.ndarray, index: Index, block: Block) -> list[tuple[i
     bound = np.maximum(lengths - index.q + 1 - k * index.q, 1)
     width = np.maximum(k, 8)[items]
     shift = int(lengths.max()) + 1
-    cell = (diagonals + shift) // width  # a shared gram counts in the bands that begin at cell and at cell - 1
+    cell = (diagonals + shift) // width + 1  # a shared gram counts in the bands that begin at cell and at cell - 1
     span = np.int64(cell.max() + 2)
     keys, counts = np.unique(items * span + cell, return_counts=True)
-    after = np.zeros_like(counts)
-    follows = np.flatnonzero(np.diff(keys) == 1)
-    after[follows] = counts[follows + 1]
-    item = keys // span
-    found = []
-    for n in np.flatnonzero(counts + after >= bound[item]):
-        i, c = int(item[n]), int(keys[n] % span)
+    # The lowest diagonals of a region may hold no shared gram, so a band may begin at an empty cell.
+    starts = np.union1d(keys, keys - 1)
+    held = np.zeros(len(starts) + 1, np.int64)
+    held[np.searchsorted(starts, keys)] = counts
+    after = np.zeros(len(starts), np.int64)
+    follows = np.flatnonzero(np.diff(starts) == 1)
+    after[follows] = held[follows + 1]
+    item = starts // span
+    found: list[tuple[int, int, int]] = []
+    for n in np.flatnonzero(held[:-1] + after >= bound[item]):
+        i, c = int(item[n]), int(starts[n] % span)
         # Unchanged grams pair off one to one, so as many different places must take part.
         own = (items == i) & ((cell == c) | (cell == c + 1))
         places = index.places[entries[own]]
         if min(len(np.unique(places)), len(np.unique(diagonals[own] + places))) >= bound[i]:
             w = int(max(k[i], 8))
-            found.append((i, c * w - shift, (c + 2) * w - 1 - shift))
-    # A band that begins one cell before an occupied one holds no more than that cell's own.
+            first, last = (c - 1) * w - shift, (c + 1) * w - 1 - shift
+            if found and found[-1][0] == i and found[-1][2] >= first:  # bands that overlap are verified as one
+                first = found.pop()[1]
+            found.append((i, first, last))
     return found
 
 

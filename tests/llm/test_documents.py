@@ -268,6 +268,24 @@ def test_leaks_agree_with_brute_force(spark, make_docs):
     assert clean == {n for n, *_ in docs} - {n for n, _ in want}
 
 
+def test_leaks_with_an_insertion_near_the_start_at_every_offset():
+    import random
+
+    rng = random.Random(11)
+    item = "".join(rng.choice("abcdefghijklmno") for _ in range(100))
+    block = decontamination.build_block([(1, item)])
+    k = decontamination.budget(len(item))
+    for place in range(1, 10):
+        copy = list(item)
+        for at in range(21, 21 + 11 * (k - 1), 11):
+            copy[at] = "z"  # all grams but those between the edits are gone
+        copy.insert(place, "q")
+        for offset in range(2 * max(k, 8)):
+            text = "w" * offset + "".join(copy) + "w" * 30
+            want = brute_distance(item, text)
+            assert want <= k and [(i, e) for i, e, *_ in decontamination.matches(text, block)] == [(0, want)], (place, offset)
+
+
 def test_leaks_odd_cases(spark, odd_docs):
     odd = spark.createDataFrame([(None, None), (1, ""), (2, "One  TWO\nthree"), (2, "One  TWO\nthree")], "item_id long, text string")
     found = decontamination.leaks(odd_docs, odd).collect()
