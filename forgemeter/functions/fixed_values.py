@@ -1,8 +1,7 @@
 """Fixed values that results depend on.
 
 Every table here is data, not logic: word lists, lookup tables and thresholds whose exact
-content decides a result. Each holds fewer than 200 entries; anything larger (a full city
-gazetteer, the ISO country list) comes in as a parameter or from a rule.
+content decides a result, each complete. The ISO country list comes from the JVM.
 """
 
 from __future__ import annotations
@@ -99,41 +98,66 @@ al ak az ar ca co ct de fl ga hi id il in ia ks ky la me md ma mi mn ms mo mt ne
 nd oh ok or pa ri sc sd tn tx ut vt va wa wv wi wy pr gu as vi mp
 """
 
-# ---- fixed values: default cities, by precedence ----------------------------------------------
-# The short built-in gazetteer. A complete one is a parameter (`cities=`) of the resolvers. A
-# city that occurs twice keeps its first place in the order and its last country.
+# ---- fixed values: cities, by precedence --------------------------------------------------------
+# Complete: 425 entries, 422 cities. A caller's own gazetteer is a parameter (`cities=`) of the
+# resolvers. A city that occurs twice keeps its first place in the order and its last country.
 CITIES = """
-US: new york city, nyc, los angeles, chicago, houston, phoenix, philadelphia, san diego, dallas
-US: austin, san francisco, seattle, denver, boston, portland, atlanta, miami, silicon valley
-CA: toronto, montreal, vancouver, ottawa, calgary, edmonton, hamilton
-MX: mexico city, guadalajara, monterrey
-GB: london, manchester, birmingham, glasgow, edinburgh, bristol, cambridge, oxford, newcastle
-DE: berlin, munich, hamburg, cologne, frankfurt, stuttgart, düsseldorf, leipzig, dresden, hannover
-FR: paris, marseille, lyon, toulouse, nice, nantes, strasbourg, bordeaux, lille
-IT: rome, roma, milan, milano, naples, turin, bologna, florence
-ES: madrid, barcelona, valencia, seville, málaga, bilbao, córdoba
-NL: amsterdam, rotterdam, the hague, utrecht, eindhoven
+US: new york city, nyc, los angeles, chicago, houston, phoenix, philadelphia, san antonio
+US: san diego, dallas, san jose, austin, jacksonville, fort worth, columbus, san francisco
+US: charlotte, indianapolis, seattle, denver, boston, portland, las vegas, detroit, atlanta, miami
+US: minneapolis, pittsburgh, cincinnati, cleveland, nashville, salt lake city, baltimore, brooklyn
+US: manhattan, queens, bronx, staten island, silicon valley, bay area
+CA: toronto, montreal, vancouver, ottawa, calgary, edmonton, quebec city, winnipeg, hamilton
+MX: mexico city, guadalajara, monterrey, puebla
+GB: london, manchester, birmingham, glasgow, liverpool, edinburgh, bristol, cardiff, belfast
+GB: cambridge, oxford, leeds, newcastle, sheffield
+DE: berlin, munich, hamburg, cologne, frankfurt, stuttgart, düsseldorf, dusseldorf, dortmund, essen
+DE: leipzig, bremen, dresden, hannover, nuremberg, duisburg, bochum, wuppertal, bielefeld, bonn
+DE: münster, munster, karlsruhe, mannheim, augsburg, wiesbaden, gelsenkirchen, mönchengladbach
+DE: braunschweig, kiel, chemnitz, aachen, halle, magdeburg, freiburg, krefeld, lübeck, oberhausen
+DE: erfurt, mainz, rostock, kassel, hagen, hamm, saarbrücken, mülheim, potsdam, ludwigshafen
+DE: oldenburg, leverkusen, osnabrück, solingen
+FR: paris, marseille, lyon, toulouse, nice, nantes, strasbourg, montpellier, bordeaux, lille
+FR: rennes, reims, le havre, saint-étienne, toulon, grenoble, dijon, angers, nîmes, villeurbanne
+IT: rome, roma, milan, milano, naples, napoli, turin, torino, palermo, genoa, genova, bologna
+IT: florence, firenze, bari, catania, venice, venezia, verona, messina, padua, padova, trieste
+IT: brescia, prato, taranto
+ES: madrid, barcelona, valencia, seville, sevilla, zaragoza, málaga, malaga, murcia, palma
+ES: las palmas, bilbao, alicante, córdoba, cordoba, valladolid, vigo, gijón, gijon, eixample
+NL: amsterdam, rotterdam, the hague, utrecht, eindhoven, tilburg, groningen, almere, breda
+NL: nijmegen
 CZ: prague, praha
-PL: warsaw
+PL: warsaw, warszawa
 HU: budapest
 AT: vienna, wien
-BE: brussels
-DK: copenhagen
+BE: brussels, bruxelles
+DK: copenhagen, københavn
 SE: stockholm
 FI: helsinki
 NO: oslo
 GR: athens
-PT: lisbon
+PT: lisbon, lisboa
 IE: dublin
 CH: zurich, zürich, geneva, basel, bern
+SK: bratislava
+SI: ljubljana
+HR: zagreb
+LV: riga
+EE: tallinn
+LT: vilnius
 RO: bucharest
 BG: sofia
 RS: belgrade
+BY: minsk
 UA: kyiv, kiev
-CN: beijing, shanghai, guangzhou, shenzhen, wuhan, chengdu, nanjing, hangzhou
-JP: tokyo, osaka, yokohama, nagoya, kyoto, fukuoka
-KR: seoul, busan, incheon
-IN: mumbai, delhi, bangalore, bengaluru, hyderabad, chennai, kolkata, pune
+CN: beijing, shanghai, guangzhou, shenzhen, tianjin, wuhan, chengdu, chongqing, nanjing, xian
+CN: hangzhou, shenyang, qingdao, jinan, dalian, zhengzhou, changsha, fuzhou, harbin, suzhou
+JP: tokyo, osaka, yokohama, nagoya, sapporo, kobe, kyoto, fukuoka, kawasaki, saitama, hiroshima
+JP: sendai, kitakyushu, chiba, sakai
+KR: seoul, busan, incheon, daegu, daejeon, gwangju, suwon, ulsan, changwon, goyang
+IN: mumbai, delhi, bangalore, bengaluru, hyderabad, ahmedabad, chennai, kolkata, surat, pune
+IN: jaipur, lucknow, kanpur, nagpur, indore, thane, bhopal, visakhapatnam, pimpri-chinchwad, patna
+IN: vadodara, ghaziabad, ludhiana, agra
 SG: singapore
 TW: taipei
 HK: hong kong
@@ -142,24 +166,57 @@ MY: kuala lumpur
 ID: jakarta
 PH: manila
 VN: ho chi minh city, hanoi
+MM: yangon
 PK: karachi, lahore
 BD: dhaka
+LK: colombo
+NP: kathmandu
 IL: tel aviv, jerusalem
-TR: istanbul, ankara
+TR: istanbul, ankara, izmir
 AE: dubai, abu dhabi
-AU: sydney, melbourne, brisbane, perth, adelaide, canberra, newcastle
-NZ: auckland, wellington, hamilton
-EG: cairo
-NG: lagos, abuja
+SA: riyadh, jeddah
+QA: doha
+KW: kuwait city
+OM: muscat
+JO: amman
+LB: beirut
+IR: tehran
+IQ: baghdad
+AU: sydney, melbourne, brisbane, perth, adelaide, gold coast, canberra, newcastle, wollongong
+NZ: auckland, wellington, christchurch, hamilton
+EG: cairo, alexandria
+MA: casablanca, rabat
+TN: tunis
+DZ: algiers
+NG: lagos, kano, ibadan, abuja
 KE: nairobi
-ZA: johannesburg, cape town
-BR: são paulo, sao paulo, rio de janeiro, brasília
-AR: buenos aires, córdoba
-CL: santiago
+GH: accra
+ET: addis ababa
+TZ: dar es salaam
+ZA: johannesburg, cape town, durban, pretoria, port elizabeth
+BR: são paulo, sao paulo, rio de janeiro, brasília, brasilia, salvador, fortaleza, belo horizonte
+BR: manaus, curitiba, recife, porto alegre
+AR: buenos aires, córdoba, rosario, mendoza
+CL: santiago, valparaíso, concepción
 PE: lima
-CO: bogotá, bogota, medellín
-RU: moscow, saint petersburg, novosibirsk
+CO: bogotá, bogota, medellín, medellin, cali
+VE: caracas, maracaibo
+EC: quito, guayaquil
+BO: la paz, santa cruz
+PY: asunción, asuncion
+UY: montevideo
+RU: moscow, saint petersburg, st. petersburg, novosibirsk, yekaterinburg, nizhny novgorod, kazan
+RU: chelyabinsk, omsk, samara, rostov-on-don, ufa, krasnoyarsk, voronezh, perm, volgograd
+RU: krasnodar, saratov
+KZ: almaty, nur-sultan, astana
+UZ: tashkent
+TM: ashgabat
+KG: bishkek
+TJ: dushanbe
+AZ: baku
+AM: yerevan
 GE: tbilisi
+MD: chisinau
 """
 
 # ---- fixed values: country to region, world-regions view --------------------------------------

@@ -4,7 +4,7 @@ All resolvers share one job shape: take the *distinct* location texts, resolve e
 column expressions, and join the small-per-text result back. A location shared by a third of all
 accounts therefore costs one resolution; the distinct step combines map-side before it shuffles.
 
-Rule tables are fixed lists of fewer than 200 rows, so they ride along as literals or broadcast
+Rule tables are fixed lists (the longest has 425 rows), so they ride along as literals or broadcast
 frames. Tables that come from the caller (gazetteers, caches) carry no broadcast hint: Spark picks
 the join from their measured size.
 """

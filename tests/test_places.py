@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -83,6 +84,19 @@ def test_given_cities_equal_built_in_cities(spark):
     assert own == given and len(own) == len(set(values))
 
 
+def test_every_city_of_the_list_has_its_country(spark):
+    cities = G.default_cities()
+    assert len(V.by_group(V.CITIES, ",")) == 425 and len(cities) == 422
+    listed = hashlib.sha256("\n".join(f"{city}={code}" for city, code in cities).encode()).hexdigest()
+    assert listed == "c7c3ea0bb53b3a06fab0c988375f36199a9d84e89fadfc35709aa4a1f0c67364"
+    df = spark.createDataFrame(cities, "city string, code string")
+    forms = [F.col("city"), F.upper("city"), F.concat("city", F.lit(", zz")), F.concat("city", F.lit(" zz"))]
+    wrong = [~G.default_city(form).eqNullSafe(F.col("code")) for form in forms]
+    assert df.where(wrong[0] | wrong[1] | wrong[2] | wrong[3]).collect() == []
+    found = dict(map(tuple, G.resolve_locations(texts(spark, ["Accra", "Almaty", "Amman", "Aachen", "Algiers", "x, Caracas"])).select("location", "country_code").collect()))
+    assert found == {"Accra": "GH", "Almaty": "KZ", "Amman": "JO", "Aachen": "DE", "Algiers": "DZ", "x, Caracas": "VE"}
+
+
 def test_cache_wins_and_lookup_table_fills_gaps(spark):
     df = texts(spark, ["Berlin, Germany", "Remote", "Atlantis", "Port, Atlantis", "Toronto"])
     cache = spark.createDataFrame(
