@@ -9,8 +9,8 @@ then per host and salt, then per host: every page takes part, and a hot host is
 
 The host's wrapper decides once where the article is: below article or main marks, else below the element
 named as content, else down the path that holds nearly all text outside links. Slots of named
-boilerplate (menus, adverts, comments and the like) and text that is the same on all pages of a host beside the
-article's own text blocks go. Pages are then read through their host's wrapper; a page without text at that place is read through its own.
+boilerplate (menus, adverts, comments and the like) go, and so does text beside the article's own text blocks that is
+the same wherever it is, on nearly all pages of the host, at least five of which differ in their longest text. Pages are then read through their host's wrapper; a page without text at that place is read through its own.
 
 Defined cases: a null page gives an empty text; pages without a host share one wrapper; unclosed and stray tags
 are closed or ignored as browsers do; an empty table gives no rows; repeated rows each get a row.
@@ -18,6 +18,7 @@ are closed or ignored as browsers do; an empty table gives no rows; repeated row
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import json
 import re
@@ -167,12 +168,28 @@ def parse(page: str | None) -> Node:
     return root
 
 
-# A wrapper is plain data: n (times seen), order, kids by signature, in (how many of n have the kid), rep, loop,
-# chars and link chars of its own slot, text (the same everywhere, "" none yet, None: a slot), dropped, main.
+# A wrapper is plain data: n (times seen), pages (that have it), order, kids by signature, in (how many of n have the kid),
+# rep, loop, chars and link chars of its own slot, text (the same everywhere, "" none yet, None: a slot), of (marks of up
+# to DIFFERENT pages that have this text), dropped, main.
 
+#: A text counts as constant on so many pages that differ in their longest text, and on this share of the host's pages.
+DIFFERENT = 5
+NEARLY_ALL = 0.9
 
-def wrapper_of(node: Node) -> dict:
-    out = {"n": 1, "order": [], "kids": {}, "in": {}, "rep": [], "loop": False, "chars": 0, "links": 0, "text": "", "drop": node.dropped, "main": node.main}
+
+def _longest(node: Node) -> str:
+    """The longest run of text outside links and boilerplate; copies of a page share it."""
+    runs = [kid if isinstance(kid, str) else _longest(kid) for kid in node.kids if isinstance(kid, str) and kid[0] != "\0" or isinstance(kid, Node) and not kid.dropped]
+    return max(runs, key=len, default="")
+
+
+def _digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
+def wrapper_of(node: Node, page: str | None = None) -> dict:
+    page = _digest(" ".join(_longest(node).split())) if page is None else page
+    out = {"n": 1, "pages": 1, "of": [], "order": [], "kids": {}, "in": {}, "rep": [], "loop": False, "chars": 0, "links": 0, "text": "", "drop": node.dropped, "main": node.main}
     before, own = None, []
     for kid in node.kids:
         if isinstance(kid, str):
@@ -183,22 +200,24 @@ def wrapper_of(node: Node) -> dict:
             continue
         if kid.tag == "br":
             continue
-        inner = wrapper_of(kid)
+        inner = wrapper_of(kid, page)
         if kid.sig in out["kids"]:
             if kid.sig not in out["rep"]:
                 out["rep"].append(kid.sig)
             out["loop"] = out["loop"] or before != kid.sig
-            out["kids"][kid.sig] = merged(out["kids"][kid.sig], inner)
+            out["kids"][kid.sig] = merged(out["kids"][kid.sig], inner, True)
         else:
             out["order"].append(kid.sig)
             out["kids"][kid.sig], out["in"][kid.sig] = inner, 1
         before = kid.sig
-    out["text"] = " ".join(filter(None, own))[:500]
+    text = " ".join(filter(None, own))
+    out["text"] = text if len(text) <= 500 else f"{text[:500]} #{_digest(text)}"
+    out["of"] = [page] if text and not out["kids"] else []
     return out
 
 
-def merged(a: dict, b: dict) -> dict:
-    """The wrapper that covers both."""
+def merged(a: dict, b: dict, same_page: bool = False) -> dict:
+    """The wrapper that covers both: elements of one page, or of different pages."""
     place = {sig: n for n, sig in enumerate(a["order"])}
     shared = [place[sig] for sig in b["order"] if sig in place]
     order, rest = [], list(a["order"])
@@ -211,9 +230,12 @@ def merged(a: dict, b: dict) -> dict:
             order.append(sig)
     kids = dict(a["kids"])
     for sig, kid in b["kids"].items():
-        kids[sig] = merged(kids[sig], kid) if sig in kids else kid
+        kids[sig] = merged(kids[sig], kid, same_page) if sig in kids else kid
+    constant = bool(a["text"]) and a["text"] == b["text"]
     return {
         "n": a["n"] + b["n"],
+        "pages": max(a["pages"], b["pages"]) if same_page else a["pages"] + b["pages"],
+        "of": sorted({*a["of"], *b["of"]})[:DIFFERENT] if constant and not kids else [],
         "order": order + rest,
         "kids": kids,
         "in": {sig: a["in"].get(sig, 0) + b["in"].get(sig, 0) for sig in kids},
@@ -275,13 +297,13 @@ def article_path(w: dict) -> tuple[tuple[str, ...], bool]:
 
 
 def constant_paths(w: dict, article: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """Elements in the article with the same text on five pages or more, beside text that differs."""
+    """Elements in the article with the same text on nearly all pages of the host, beside text that differs."""
     inside = [(path, x) for path, x in _paths(w) if path[: len(article)] == article]
     if sum(x["chars"] for _, x in inside if x["text"] is None) * 2 < sum(x["chars"] for _, x in inside):
         return []
     return [
         path for path, x in inside
-        if x["text"] and x["n"] >= 5 and not x["kids"] and path != article and not {s.partition(".")[0] for s in path[len(article) :]} & _OWN_TEXT
+        if x["text"] and len(x["of"]) >= DIFFERENT and x["pages"] >= NEARLY_ALL * w["pages"] and not x["kids"] and path != article and not {s.partition(".")[0] for s in path[len(article) :]} & _OWN_TEXT
     ]
 
 

@@ -52,6 +52,33 @@ def test_host_wrapper_serves_pages_of_its_template(spark):
     assert {r.text for r in got} == {f"Story {n} goes on for a while here." for n in range(8)}
 
 
+def extracted(pages):
+    """The pages of one host through their common wrapper."""
+    whole = None
+    for page in pages:
+        own = html_wrappers.wrapper_of(html_wrappers.parse(page))
+        whole = html_wrappers.merged(whole, own) if whole else own
+    return [html_wrappers.extract(page, html_wrappers.rules_of(whole)) for page in pages]
+
+
+def test_text_of_copies_and_of_one_page_is_not_constant():
+    def story(n):
+        return f"Story {n} goes on for a while here, and longer than what is said above it."
+
+    shell = "<article><div class=lead>{}</div><p>{}</p></article>"
+    copies = [shell.format("Said before.", story("A"))] * 20
+    others = [f"<article><p>{story(n)}</p></article>" for n in range(40)]
+    assert extracted(copies + others) == [f"Said before. {story('A')}"] * 20 + [story(n) for n in range(40)]
+    assert extracted(copies + others[:1])[0] == f"Said before. {story('A')}"
+    repeated = "<article>" + "<div class=sep>Next part</div>" * 5 + f"<p>{story(0) * 3}</p></article>"
+    assert extracted([repeated] + others)[0].startswith("Next part Next part Next part Next part Next part Story")
+    same = "same " * 120
+    ends = [shell.format(f"{same} end {n}", story(n) * 9) for n in range(8)]
+    assert all(f"end {n} Story" in text for n, text in enumerate(extracted(ends)))
+    always = [shell.format("Always here", story(n)) for n in range(8)]
+    assert extracted(always) == [story(n) for n in range(8)]
+
+
 def test_pages_odd_cases(spark):
     rows = [(None, None, None, "a", "b"), (1, "", "", "a", "b"), (1, "", "", "a", "b"), (2, "ftp:x", "<p>t", "a", "b")]
     pages = spark.createDataFrame(rows, PAGES)
