@@ -7,10 +7,12 @@ optional, a part met again becomes repeated, parts that come back in another ord
 text that differs becomes a slot. Alignment of two wrappers is the same step, so wrappers are merged inside a task,
 then per host and salt, then per host: every page takes part, and a hot host is never gathered whole.
 
-The host's wrapper decides once where the article is: below article or main marks, else below the element
-named as content, else down the path that holds nearly all text outside links. Slots of named
-boilerplate (menus, adverts, comments and the like) go, and so does text beside the article's own text blocks that is
-the same wherever it is, on nearly all pages of the host, at least five of which differ in their longest text. Pages are then read through their host's wrapper; a page without text at that place is read through its own.
+The host's wrapper says where article or main marks are: the outermost of them are the article's places. A page is
+read below these and its own marks if they hold nearly all of its text outside links and boilerplate, and whole
+otherwise, so no text is lost to places that other pages chose. Slots of named boilerplate (menus, adverts, comments
+and the like) go, and so does text beside text that differs which is the same wherever it is, on nearly all pages of
+the host, at least five of which differ in their longest text. Blocks of links alone count in the article's places and
+in the element named as content.
 
 Defined cases: a null page gives an empty text; pages without a host share one wrapper; unclosed and stray tags
 are closed or ignored as browsers do; an empty table gives no rows; repeated rows each get a row.
@@ -172,7 +174,8 @@ def parse(page: str | None) -> Node:
 # rep, loop, chars and link chars of its own slot, text (the same everywhere, "" none yet, None: a slot), of (marks of up
 # to DIFFERENT pages that have this text), dropped, main.
 
-#: A text counts as constant on so many pages that differ in their longest text, and on this share of the host's pages.
+#: A text counts as constant on so many pages that differ in their longest text, and on this share of the host's pages; so
+#: much of a page's text is in the article's places where they are used.
 DIFFERENT = 5
 NEARLY_ALL = 0.9
 
@@ -272,88 +275,82 @@ def _paths(w: dict, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...
             yield from _paths(w["kids"][sig], (*path, sig))
 
 
-def article_path(w: dict) -> tuple[tuple[str, ...], bool]:
-    """Where the article is, as signatures from the root, and whether a name or mark says so."""
-    places = list(_paths(w))
+def article_paths(w: dict) -> list[tuple[str, ...]]:
+    """The outermost marked places, as signatures from the root."""
+    out: list[tuple[str, ...]] = []
+    for path, x in _paths(w):
+        if x["main"] and path and not any(path[: len(outer)] == outer for outer in out):
+            out.append(path)
+    return out
+
+
+def content_path(w: dict) -> tuple[str, ...]:
+    """The deepest element named as content with half of the text; () for none."""
     total = _weight(w)
-    marked = [(path, _weight(x)) for path, x in places if x["main"] and path]
-    inner = [(path, size) for path, size in marked if path[-1].startswith("article")]
-    for group in (inner, marked):
-        if group:
-            path, size = max(group, key=lambda p: (p[1], -len(p[0])))
-            outer = max([s for p, s in marked if path[: len(p)] == p], default=0)
-            if 2 * size >= outer and size:
-                return path, True
-    named = [(path, _weight(x)) for path, x in places if path and set(re.split(r"[^a-z]+", path[-1].partition(".")[2])) & _CONTENT_NAMES]
-    named = [(path, size) for path, size in named if 2 * size >= total and size]
-    if named:
-        return max(named, key=lambda p: len(p[0]))[0], True
-    path, here = (), w
-    while True:
-        heavy = [sig for sig in here["order"] if sig.partition(".")[0] not in _OWN_TEXT and 10 * _weight(here["kids"][sig]) >= 9 * max(_weight(here), 1)]
-        if not heavy:
-            return path, False
-        path, here = (*path, heavy[0]), here["kids"][heavy[0]]
-
-
-def constant_paths(w: dict, article: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """Elements in the article with the same text on nearly all pages of the host, beside text that differs."""
-    inside = [(path, x) for path, x in _paths(w) if path[: len(article)] == article]
-    if sum(x["chars"] for _, x in inside if x["text"] is None) * 2 < sum(x["chars"] for _, x in inside):
+    named = [path for path, x in _paths(w) if path and set(re.split(r"[^a-z]+", path[-1].partition(".")[2])) & _CONTENT_NAMES and 2 * _weight(x) >= max(total, 1)]
+    return max(named, key=len, default=())
+
+
+def constant_paths(w: dict) -> list[tuple[str, ...]]:
+    """Elements with the same text on nearly all pages of the host, beside text that differs."""
+    places = list(_paths(w))
+    if sum(x["chars"] for _, x in places if x["text"] is None) * 2 < sum(x["chars"] for _, x in places):
         return []
     return [
-        path for path, x in inside
-        if x["text"] and len(x["of"]) >= DIFFERENT and x["pages"] >= NEARLY_ALL * w["pages"] and not x["kids"] and path != article and not {s.partition(".")[0] for s in path[len(article) :]} & _OWN_TEXT
+        path for path, x in places
+        if x["text"] and len(x["of"]) >= DIFFERENT and x["pages"] >= NEARLY_ALL * w["pages"] and not x["kids"] and not x["main"] and not {s.partition(".")[0] for s in path} & _OWN_TEXT
     ]
 
 
 def rules_of(w: dict) -> dict:
-    article, named = article_path(w)
-    return {"article": list(article), "named": named, "constant": [list(path) for path in constant_paths(w, article)]}
+    return {"article": [list(path) for path in article_paths(w)], "content": list(content_path(w)), "constant": [list(path) for path in constant_paths(w)]}
 
 
 def blocks(root: Node, rules: dict) -> list[str]:
-    """Text blocks below the article's place, in page order; where nothing names it, blocks of links go."""
-    article, constant = tuple(rules["article"]), {tuple(path) for path in rules["constant"]}
-    out: list[str] = []
+    """Text blocks in page order: those of the article's places if they hold nearly all text, else of the page."""
+    article, constant = {tuple(path) for path in rules["article"]}, {tuple(path) for path in rules["constant"]}
+    content = tuple(rules["content"])
+    out: list[tuple[str, bool]] = []  # block, whether in the article's places
     run: list[str] = []
+    chars = {True: 0, False: 0}
 
-    def flush() -> None:
+    def flush(inside: bool, links: bool) -> None:
+        own = sum(len(part.strip()) for part in run if part[0] != "\0")
+        chars[inside] += own
         text = " ".join(references.unescape("".join(part.lstrip("\0") for part in run)).split())
-        if text and (rules["named"] or any(part[0] != "\0" and part.strip() for part in run)):
-            out.append(text)
+        if text and (own or inside or links):
+            out.append((text, inside))
         run.clear()
 
-    def walk(node: Node, path: tuple[str, ...], inside: bool) -> None:
+    def walk(node: Node, path: tuple[str, ...], inside: bool, links: bool) -> None:
         for kid in node.kids:
             if isinstance(kid, str):
-                if inside:
-                    run.append(kid)
+                run.append(kid)
                 continue
             if kid.tag == "br":
                 run.append(" ")
                 continue
             below = (*path, kid.sig)
+            within = inside or kid.main or below in article
+            apart = kid.tag in _BLOCK or within != inside
+            if apart:
+                flush(inside, links)
             if kid.dropped or below in constant:
-                if kid.tag in _BLOCK:
-                    flush()
                 continue
-            block = kid.tag in _BLOCK
-            if block:
-                flush()
-            walk(kid, below, inside or below == article)
-            if block:
-                flush()
-
-    walk(root, (), not article)
-    flush()
-    return out
+            named = links or below == content
+            walk(kid, below, within, named)
+            if apart:
+                flush(within, named)
+
+    walk(root, (), False, False)
+    flush(False, False)
+    placed = [text for text, inside in out if inside]
+    return placed if placed and chars[True] >= NEARLY_ALL * sum(chars.values()) else [text for text, _ in out]
 
 
 def extract(page: str | None, rules: dict | None) -> str:
     root = parse(page)
-    found = blocks(root, rules) if rules else []
-    return " ".join(found or blocks(root, rules_of(wrapper_of(root))))
+    return " ".join(blocks(root, rules or rules_of(wrapper_of(root))))
 
 
 def host_of(url: Column) -> Column:

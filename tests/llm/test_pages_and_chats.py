@@ -79,6 +79,24 @@ def test_text_of_copies_and_of_one_page_is_not_constant():
     assert extracted(always) == [story(n) for n in range(8)]
 
 
+def test_no_text_is_lost_beside_the_heavy_child():
+    long, text = "A long paragraph that holds most of the text of this page. " * 4, "Some more text of its own."
+    pages = [
+        f"<div class=content><p>{text}</p><div class=text>{long}</div><p>{text}</p></div>",
+        f"<main><h1>{text}</h1><article><p>{long}</p></article><p>{text}</p></main>",
+        f"<body><div><p>{text}</p><div><div>{long * 4}</div></div></div></body>",
+        f"<body><h1>{text}</h1><div id=teaser><article>{text}</article></div><div>{long}</div></body>",
+    ]
+    for page in pages:
+        want = " ".join(re.sub(r"<[^>]*>", " ", page).split())
+        assert extracted([page]) == [want]
+        # One very long page with all text in one place does not decide for the others of its host.
+        deep = page.replace(text, "").replace(long, long * 200)
+        assert extracted([deep, page])[1] == want
+    linked = "<article><p>Text of the article.</p><ul><li><a href=x>Linked</a></ul></article><div><a href=y>Menu</a></div>"
+    assert extracted([linked]) == ["Text of the article. Linked"]
+
+
 def test_pages_odd_cases(spark):
     rows = [(None, None, None, "a", "b"), (1, "", "", "a", "b"), (1, "", "", "a", "b"), (2, "ftp:x", "<p>t", "a", "b")]
     pages = spark.createDataFrame(rows, PAGES)
