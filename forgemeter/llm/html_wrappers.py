@@ -24,6 +24,7 @@ import hashlib
 import html as references
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import stored
 
 SALTS = 64
-_DEPTH = 150  # deeper elements are read as part of the one at this depth
+_DEPTH = 150  # the text of deeper elements is read as part of the one at this depth, of boilerplate not at all
 _HOSTS_HELD = 5000
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S
@@ -61,10 +62,11 @@ _OWN_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "blockqu
 
 
 class Node:
-    __slots__ = ("tag", "sig", "dropped", "kids", "main")
+    __slots__ = ("tag", "sig", "dropped", "kids", "main", "within")
 
     def __init__(self, tag: str, sig: str, dropped: bool = False, main: bool = False) -> None:
         self.tag, self.sig, self.dropped, self.main = tag, sig, dropped, main
+        self.within = main  # in an article's mark, its own or an outer one's; set when opened
         self.kids: list[Node | str] = []
 
 
@@ -104,8 +106,14 @@ def parse(page: str | None) -> Node:
     stack, text, at = [root], page or "", 0
     links = 0  # depth of links: their text is marked by a leading NUL
 
+    opened: Counter[str] = Counter()  # open elements by tag, so that stray ends need no look through the stack
+
     def close(n: int) -> None:
+        opened.subtract(node.tag for node in stack[n:])
+        parted = n >= _DEPTH and any(node.tag in _BLOCK for node in stack[n:])
         del stack[n:]
+        if parted:
+            stack[-1].kids.append(Node("br", ""))
 
     def add(run: str) -> None:
         if run:
@@ -127,7 +135,7 @@ def parse(page: str | None) -> Node:
         if found[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            for n in range(len(stack) - 1, 0, -1):
+            for n in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                 if stack[n].tag == tag:
                     close(n)
                     break
@@ -148,7 +156,7 @@ def parse(page: str | None) -> Node:
             continue
         if tag == "a":
             links += 1
-        node = _opened(tag, found[3], any(n.main for n in stack))
+        node = _opened(tag, found[3], stack[-1].within)
         if node is None:
             continue
         if tag in _BLOCK:
@@ -156,17 +164,22 @@ def parse(page: str | None) -> Node:
             if stack[-1].tag == "p":
                 close(len(stack) - 1)
             closes, stops = _CLOSES.get(tag, ((), ()))
-            for n in range(len(stack) - 1, 0, -1):
+            for n in range(len(stack) - 1 if any(opened[t] for t in closes) else 0, 0, -1):
                 if stack[n].tag in stops:
                     break
                 if stack[n].tag in closes:
                     close(n)
                     break
+        node.within = node.main or stack[-1].within
         if len(stack) < _DEPTH:
             stack[-1].kids.append(node)
-            stack.append(node)
-        else:
-            stack[-1].kids.append(Node("br", ""))
+        else:  # stays open so that ends match; what it holds goes to the element at the depth, or with the dropped
+            if tag in _BLOCK:
+                stack[-1].kids.append(Node("br", ""))
+            if not node.dropped:
+                node.kids = stack[-1].kids
+        stack.append(node)
+        opened[tag] += 1
     return root
 
 

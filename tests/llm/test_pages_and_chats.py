@@ -97,6 +97,17 @@ def test_no_text_is_lost_beside_the_heavy_child():
     assert extracted([linked]) == ["Text of the article. Linked"]
 
 
+def test_text_after_and_in_deep_elements():
+    page = "<div><main><article>{}<p>Inside of it, long enough to be nearly all of the text.</p>{}<p>After the deep part.</p></article></main></div><div><p>Other</p></div>"
+    for depth in (140, 148, 150, 200, 3000):
+        deep = "<div>" * depth + "a<div>deep</div>b<nav>menu<div>more</div></nav><form>form</form> end" + "</div>" * depth
+        for at in range(2):
+            parts = ("", deep) if at else (deep, "")
+            want = "Inside of it, long enough to be nearly all of the text. a deep b end After the deep part." if at else "a deep b end Inside of it, long enough to be nearly all of the text. After the deep part."
+            text = " ".join(html_wrappers.extract(page.format(*parts), None).split())
+            assert text == want, depth
+
+
 def test_pages_odd_cases(spark):
     rows = [(None, None, None, "a", "b"), (1, "", "", "a", "b"), (1, "", "", "a", "b"), (2, "ftp:x", "<p>t", "a", "b")]
     pages = spark.createDataFrame(rows, PAGES)
