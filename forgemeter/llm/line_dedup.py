@@ -13,7 +13,8 @@ so pairs never grow with the square of a group.
 Each pair is aligned by patience diff: lines unique on both sides, in longest increasing order, are
 fixed points; the gaps between them are aligned in the same way, and where no line is unique, the k-th
 occurrence of a line stands for the k-th one of the other side. Aligned blocks of at least
-``min_words`` words are deleted from the later document. The first holder of a line never loses it.
+``min_words`` words are deleted from the later document, and so are blocks of that size that it holds in
+another order, or once more. The first holder of a line never loses it.
 
 Defined cases: a null text stays null; repeated rows are one document, each keeping the same result; a
 document without id comes after all others; an empty table gives no rows. Extra columns are kept.
@@ -99,8 +100,23 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _runs(lines: list[int], words: dict[int, int], min_words: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """(first place, lines) of the shortest runs of known lines with ``min_words`` words from and up to every place."""
+    for n in range(len(lines)):
+        for step in (1, -1):
+            end, total = n, 0
+            while 0 <= end < len(lines) and lines[end] in words and total < min_words:
+                total += words[lines[end]]
+                end += step
+            if total >= min_words:
+                yield (n, tuple(lines[n:end])) if step == 1 else (end + 1, tuple(lines[end + 1 : n + 1]))
+
+
 def common_blocks(later: list[int], words: list[int], earlier: list[int], min_words: int) -> list[int]:
-    """Places of ``later`` in aligned blocks (consecutive on both sides) of at least ``min_words`` words."""
+    """Places of ``later`` in blocks (consecutive on both sides) of at least ``min_words`` words.
+
+    Aligned blocks first; then, of what is left, blocks that the alignment can't hold: in another order, or again.
+    """
     shared = set(later) & set(earlier)
     if sum(w for x, w in zip(later, words) if x in shared) < min_words:
         return []
@@ -115,6 +131,12 @@ def common_blocks(later: list[int], words: list[int], earlier: list[int], min_wo
             block.append(i)
             total += words[i]
         last = (i, j)
+    left = {n for n, x in enumerate(later) if x in shared} - set(gone)
+    if sum(words[n] for n in left) >= min_words or gone and left:
+        size = {later[n]: words[n] for n in range(len(later)) if later[n] in shared}
+        held = {run for _, run in _runs(earlier, size, min_words)}
+        again = {n for first, run in _runs(later, size, min_words) if run in held for n in range(first, first + len(run))}
+        gone += sorted(again & left)
     return gone
 
 

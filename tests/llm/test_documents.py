@@ -176,6 +176,13 @@ def test_line_dedup_finds_a_block_whose_lines_have_other_first_holders(make_docs
     assert [got[n] for n in range(1, 6)] == [*texts[:4], "last"]
 
 
+def test_line_dedup_cuts_blocks_in_another_order_and_again(make_docs):
+    a, b = ("\n".join(" ".join(f"{x}{k}w{n}" for n in range(12)) for k in range(3)) for x in "ab")
+    texts = [f"{a}\nbetween\n{b}", f"head\n{b}\nmiddle\n{a}\ntail", f"{a}\nx\n{a}\ny\n{a}\nz"]
+    got = {r.doc_id: r.text for r in line_dedup.dedupe_lines(make_docs([(n, t, "en", "a") for n, t in enumerate(texts, 1)])).collect()}
+    assert got == {1: texts[0], 2: "head\nmiddle\ntail", 3: "x\ny\nz"}
+
+
 def test_line_dedup_odd_cases(odd_docs):
     out = line_dedup.dedupe_lines(odd_docs)
     assert out.count() == odd_docs.count() and set(odd_docs.columns) - {"gone"} <= set(out.columns)
