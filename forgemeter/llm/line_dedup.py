@@ -1,7 +1,7 @@
 """Line dedup by pairwise alignment: blocks of lines that an earlier document has are cut from the later one.
 
 A line is told by a hash of its trimmed text; lines without a word take no part. Documents are ordered by
-id. A stretch is a run of consecutive lines that other documents have too. Only stretches of at least
+id, and different texts under one id, or without one, by their hash. A stretch is a run of consecutive lines that other documents have too. Only stretches of at least
 ``min_words`` words can hold a block worth deleting, so short common lines never make candidates. In such
 a stretch every rare line (in at most ``rare`` documents) anchors its document to the first document that
 holds the line. Frequent lines anchor only where a run of them alone reaches ``min_words``: that is the
@@ -177,17 +177,17 @@ def _run_anchors(lines: DataFrame, min_words: int) -> DataFrame:
     )
     runs = runs.filter((F.col("run_words") >= min_words) & (F.size("run_lines") > 1))
     runs = runs.select(*_KEY, "salt", F.xxhash64("run_lines").alias("run"))
-    salted = runs.groupBy("run", "salt").agg(F.count("*").alias("runs"), F.min("_id").alias("first"))
+    salted = runs.groupBy("run", "salt").agg(F.count("*").alias("runs"), F.min(F.struct(*_KEY)).alias("first"))
     shared = salted.groupBy("run").agg(F.sum("runs").alias("runs"), F.min("first").alias("first")).filter("runs > 1")
     shared = salted.select("run", "salt").join(shared, "run")
-    return runs.join(shared, ["run", "salt"]).filter(F.col("first") != F.col("_id")).select(*_KEY, "first")
+    return runs.join(shared, ["run", "salt"]).filter(F.col("first") != F.struct(*_KEY)).select(*_KEY, "first")
 
 
 def candidate_pairs(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
-    """Rows (later_id, later_hash, earlier_id)."""
-    salt = F.pmod(F.xxhash64("_id"), F.lit(HOLDER_SALTS)).alias("salt")
-    held = tables.select("_id", salt, F.explode(F.array_distinct("keys")).alias("line"))
-    salted = held.groupBy("line", "salt").agg(F.count("*").alias("docs"), F.min("_id").alias("first"))
+    """Rows (later_id, later_hash, earlier_id, earlier_hash)."""
+    salt = F.pmod(F.xxhash64(*_KEY), F.lit(HOLDER_SALTS)).alias("salt")
+    held = tables.select(*_KEY, salt, F.explode(F.array_distinct("keys")).alias("line"))
+    salted = held.groupBy("line", "salt").agg(F.count("*").alias("docs"), F.min(F.struct(*_KEY)).alias("first"))
     shared = salted.groupBy("line").agg(F.sum("docs").alias("docs"), F.min("first").alias("first")).filter("docs > 1")
     # What is known of a line goes to every salt that has it, so a line of a third of all documents is no hot key.
     shared = salted.select("line", "salt").join(shared, "line")
@@ -200,19 +200,21 @@ def candidate_pairs(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = R
     run = F.col("place") - F.row_number().over(Window.partitionBy(*_KEY, "frequent").orderBy("place"))
     lines = lines.withColumn("run", run)
     lines = lines.withColumn("run_total", F.sum("words").over(Window.partitionBy(*_KEY, "frequent", "run")))
-    anchors = lines.filter((~F.col("frequent") | (F.col("run_total") >= min_words)) & (F.col("first") != F.col("_id")))
+    anchors = lines.filter((~F.col("frequent") | (F.col("run_total") >= min_words)) & (F.col("first") != F.struct(*_KEY)))
     anchors = anchors.select(*_KEY, "first").unionAll(_run_anchors(lines, min_words))
-    return anchors.select(F.col("_id").alias("later_id"), F.col("_hash").alias("later_hash"), F.col("first").alias("earlier_id")).distinct()
+    earlier = (F.col("first._id").alias("earlier_id"), F.col("first._hash").alias("earlier_hash"))
+    return anchors.select(F.col("_id").alias("later_id"), F.col("_hash").alias("later_hash"), *earlier).distinct()
 
 
 def deleted_lines(tables: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
     """_id, _hash and the sorted places (among lines with a word) that go."""
     pairs = stored(candidate_pairs(tables, min_words, rare), "line-pairs")
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("later_id", "later_hash"), F.lit(HOLDER_SALTS)))
-    earlier = tables.select(F.col("_id").alias("earlier_id"), F.col("keys").alias("earlier"))
-    handed = pairs.select("earlier_id", "salt").distinct().join(earlier, "earlier_id")
+    holder = ["earlier_id", "earlier_hash"]
+    earlier = tables.select(F.col("_id").alias("earlier_id"), F.col("_hash").alias("earlier_hash"), F.col("keys").alias("earlier"))
+    handed = pairs.select(*holder, "salt").distinct().join(earlier, holder)
     later = tables.select(F.col("_id").alias("later_id"), F.col("_hash").alias("later_hash"), F.col("keys").alias("later"), "words")
-    rows = pairs.join(handed, ["earlier_id", "salt"]).select("later_id", "later_hash", "earlier")
+    rows = pairs.join(handed, [*holder, "salt"]).select("later_id", "later_hash", "earlier")
     rows = rows.join(later, ["later_id", "later_hash"]).select("later_id", "later_hash", "later", "words", "earlier")
     gone = rows.mapInPandas(_align(min_words), "_id long, _hash long, place int")
     return gone.groupBy(*_KEY).agg(F.sort_array(F.collect_set("place")).alias("gone"))

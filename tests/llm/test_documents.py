@@ -183,6 +183,15 @@ def test_line_dedup_cuts_blocks_in_another_order_and_again(make_docs):
     assert got == {1: texts[0], 2: "head\nmiddle\ntail", 3: "x\ny\nz"}
 
 
+def test_line_dedup_between_documents_of_one_id(make_docs):
+    passage = "\n".join(" ".join(f"w{k}x{n}" for n in range(30)) for k in range(3))
+    for doc in (None, 7):
+        texts = [f"own {n} start\n{passage}\nend {n}" for n in range(4)]
+        out = [r.text for r in line_dedup.dedupe_lines(make_docs([(doc, t, "en", "a") for t in texts])).collect()]
+        assert sum(passage in text for text in out) == 1
+        assert sorted(t.replace(f"\n{passage}", "") for t in out) == [f"own {n} start\nend {n}" for n in range(4)]
+
+
 def test_line_dedup_odd_cases(odd_docs):
     out = line_dedup.dedupe_lines(odd_docs)
     assert out.count() == odd_docs.count() and set(odd_docs.columns) - {"gone"} <= set(out.columns)
