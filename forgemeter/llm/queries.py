@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     chat_snapshots,
+    conversation_trie,
     decontamination,
     html_wrappers,
     language_id,
@@ -216,3 +217,50 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(table(spark, sf_dir, "documents"))
+
+
+TRIE_SQL = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT c, count(*) AS n FROM turns GROUP BY c
+), crc(c, rest, value) AS (
+  SELECT c, CAST(c AS VARCHAR), CAST(4294967295 AS BIGINT) FROM sizes
+  UNION ALL
+  SELECT c, rest[2:], list_reduce(list_prepend(xor(value, ascii(rest)), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+    lambda v, z: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))
+  FROM crc WHERE rest <> ''
+), plan AS (
+  SELECT k.c, xor(value, 4294967295) % 4 AS h, k.c - k.c % 20 AS donor, least(xor(value, 4294967295) % 4, coalesce(d.n, 0)) AS taken
+  FROM crc k LEFT JOIN sizes d ON d.c = k.c - k.c % 20 WHERE rest = ''
+), rebuilt AS (
+  SELECT p.c, t.place AS depth, t.role, t.text FROM plan p JOIN turns t ON t.c = p.donor WHERE t.place <= p.taken
+  UNION ALL
+  SELECT p.c, t.place - p.h + p.taken, t.role, t.text FROM plan p JOIN turns t ON t.c = p.c WHERE t.place > p.h
+), steps AS (
+  SELECT c, depth, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '' ORDER BY depth) OVER (PARTITION BY c ORDER BY depth)) AS node,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 'root', 0 FROM sizes
+), placed AS (
+  SELECT *, lag(node) OVER (PARTITION BY c ORDER BY depth) AS up, max(depth) OVER (PARTITION BY c) = depth AS ends FROM steps
+), nodes AS (
+  SELECT node, depth, min(c) AS conv_id, min(up) AS up, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM placed GROUP BY node, depth
+), childless AS (
+  SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.up = n.node) AS n_children FROM nodes n
+), below AS (
+  SELECT DISTINCT a.node AS top, b.node FROM placed a JOIN placed b ON a.c = b.c AND a.depth <= b.depth
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM childless n LEFT JOIN nodes p ON p.node = n.up
+JOIN (SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM below JOIN childless USING (node) GROUP BY top) s ON s.top = n.node
+"""
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
