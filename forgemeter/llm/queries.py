@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     chat_snapshots,
+    collocations,
     conversation_trie,
     decontamination,
     html_wrappers,
@@ -264,3 +265,48 @@ JOIN (SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved)
 @query("op11_conversation_trie", TRIE_SQL)
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), words AS (
+  SELECT id, lang, unnest(w) AS w, generate_subscripts(w, 1) AS place FROM listed
+), runs AS (
+  SELECT lang, w AS w1, lead(w) OVER piece AS w2, lead(w, 2) OVER piece AS w3 FROM words WINDOW piece AS (PARTITION BY id ORDER BY place)
+), found AS (
+  SELECT lang, [w1] AS w FROM runs UNION ALL SELECT lang, [w1, w2] FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, [w1, w2, w3] FROM runs WHERE w3 IS NOT NULL
+), counts AS (
+  SELECT lang, array_to_string(w, ' ') AS phrase, len(w) AS k, any_value(w) AS w, count(*) AS f FROM found GROUP BY 1, 2, 3
+), several AS (
+  SELECT * FROM counts WHERE k > 1 AND f >= 10
+), sides AS (
+  SELECT lang, phrase, f, 1 AS k, w[1] AS first_part, array_to_string(w[2:], ' ') AS rest FROM several
+  UNION ALL SELECT lang, phrase, f, 2, array_to_string(w[:2], ' '), w[3] FROM several WHERE k = 3
+), cuts AS (
+  SELECT s.lang, s.phrase, s.k, l.f AS l, r.f AS r, (1000000::HUGEINT * s.f * s.f) // (l.f::HUGEINT * r.f) AS score
+  FROM sides s LEFT JOIN counts l ON l.lang = s.lang AND l.phrase = s.first_part LEFT JOIN counts r ON r.lang = s.lang AND r.phrase = s.rest
+), lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM cuts
+), inner_ones AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f FROM several WHERE k = 3
+), kept AS (
+  SELECT s.lang, s.phrase, s.f AS a, c.l, c.r, CAST(c.score AS BIGINT) AS score
+  FROM several s JOIN lowest c ON c.lang = s.lang AND c.phrase = s.phrase AND c.place = 1
+  WHERE NOT EXISTS (SELECT 1 FROM inner_ones i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.f >= 50 * s.f)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked r JOIN (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang) t ON t.lang = r.lang WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", COLLOCATION_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
