@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from ..functions import dates as D, fixed_values as V
 from .normalize import owner_split
 from .reports import created_within, new_rows_only, search_repos, sorted_by
+from .skew import first_rows
 from .upsert import first_per_key
 
 
@@ -38,21 +39,12 @@ def cap_whole_strata(df: DataFrame, stratum: str, total: int) -> DataFrame:
 
 
 def cap_total(df: DataFrame, stratum: str, total: int | None, order: list[Column] | None = None) -> DataFrame:
-    """The first ``total`` rows by stratum and rank order.
+    """The first ``total`` rows by stratum and rank order; the input is evaluated once.
 
-    It goes by counts: strata that fit stay whole, only the one that crosses the limit is ranked, and
-    no task gathers more than it keeps.
+    The cut is found from counts of ranges of that order, so a stratum of any size, and a limit of any size, is no task's
+    alone (see :func:`first_rows`).
     """
-    if total is None:
-        return df
-    order = order or sorted_by()
-    quota = _running_quota(df, stratum).withColumn(
-        "keep", F.least(F.col("rows"), F.greatest(F.lit(total) - F.col("prior"), F.lit(0)))
-    )
-    whole = df.join(quota.where(F.col("keep") == F.col("rows")).select(stratum), stratum, "left_semi")
-    crossing = quota.where((F.col("keep") > 0) & (F.col("keep") < F.col("rows"))).select(stratum, "keep")
-    part = top_n_per_stratum(df.join(crossing, stratum), [stratum], total, order)
-    return whole.unionByName(part.where(F.col("rank") <= F.col("keep")).select(*df.columns))
+    return df if total is None else first_rows(df, total, [F.col(stratum), *(order or sorted_by())])
 
 
 def dedupe_ids(df: DataFrame, order: Column, key: str = "id") -> DataFrame:

@@ -70,6 +70,13 @@ def org_yearly_parts(events: DataFrame, start_year: int = 2015, end_year: int =
     ).agg(F.count_if(_is("ForkEvent")).alias("forks"), F.count_if(_is("WatchEvent")).alias("stars"))
 
 
+def fewer_parts(parts: DataFrame) -> DataFrame:
+    """Rows of several outputs of :func:`org_yearly_parts` as one output of all their events."""
+    return parts.groupBy("year", "organization_login", "repo_id", "actor_id").agg(
+        F.sum("forks").alias("forks"), F.sum("stars").alias("stars")
+    )
+
+
 def merged_parts(parts: DataFrame) -> DataFrame:
     """The yearly statistics of all events that the parts were made from."""
     return parts.groupBy("year", "organization_login").agg(
@@ -267,11 +274,13 @@ def daily_event_counts(events: DataFrame) -> DataFrame:
     )
 
 
+BUCKETS = {"hour": "1 hour", "day": "1 day"}
+
+
 def events_per_bucket(events: DataFrame, resolution: str = "hour") -> DataFrame:
     """Events per tumbling bucket and type; the same for a batch and a watermarked stream."""
-    size = {"hour": "1 hour", "day": "1 day"}[resolution]
     return (
-        events.groupBy(F.window("created_at", size).alias("w"), "type")
+        events.groupBy(F.window("created_at", BUCKETS[resolution]).alias("w"), "type")
         .agg(F.count(F.lit(1)).alias("event_count"))
         .select(F.col("w.start").alias("bucket_start"), "type", "event_count")
     )

@@ -12,12 +12,12 @@ the join from their measured size.
 from __future__ import annotations
 
 import functools
-import json
 
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
+from ..functions.lookup import constant_lookup, first_ranked, leading_runs, longest_key, word_runs
 from ..functions.text import clean_location_strict, country_key
 
 
@@ -29,7 +29,7 @@ def region_of(code: Column, view: str = "world") -> Column:
     follows continents and takes the code as it is.
     """
     text, key = (V.WORLD_REGIONS, country_key(code)) if view == "world" else (V.CONTINENTS, code)
-    return F.try_element_at(_constant_map(json.dumps(dict(V.by_group(text))), "string"), key)
+    return constant_lookup(dict(V.by_group(text)))(key)
 
 
 def region_of_country(df: DataFrame, code: str, view: str = "world", into: str = "region") -> DataFrame:
@@ -37,36 +37,28 @@ def region_of_country(df: DataFrame, code: str, view: str = "world", into: str =
 
 
 # ---- rules -----------------------------------------------------------------------------------
-# Rule lists are constants of the plan: they fold to one literal, need no join, and are only
-# walked for distinct texts.
-def _words(text: str, separator: str | None = None) -> Column:
-    return F.split(F.lit("|".join(V.words(text, separator))), r"\|")
+# Rule tables are constants of the plan, looked up by the phrases of a text: what a text costs
+# goes by its words, whatever the number of rules.
+_RANKED = "struct<rank: int, code: string>"
 
 
-def _rule_rows(rows: list[tuple[str, str]]) -> Column:
-    text = json.dumps([{"name": name, "code": code} for name, code in rows])
-    return F.from_json(F.lit(text), "array<struct<name: string, code: string>>")
+def _ranked(rows: list[tuple[str, str]]) -> dict[str, dict]:
+    """Rules by name; of a name that occurs twice the first counts."""
+    table: dict[str, dict] = {}
+    for rank, (name, code) in enumerate(rows):
+        table.setdefault(name, {"rank": rank, "code": code})
+    return table
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once per row, not once per rule."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _first_code(rules: Column, hit) -> Column:
-    return F.get(F.filter(rules, hit), F.lit(0)).getField("code")
-
-
-def _phrase(text):
-    """Text between spaces, so that containing ``' name '`` means whole words only."""
-    return f" {text} " if isinstance(text, str) else F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+def _set_of(words: list[str]) -> dict[str, bool]:
+    return dict.fromkeys(words, True)
 
 
 def coded_country(text: Column) -> Column:
     """Two capital letters in brackets or at the end, where they are a known country code."""
-    known = _words(" ".join(code for code, _ in V.by_group(V.WORLD_REGIONS)))
+    known = constant_lookup(_set_of([code for code, _ in V.by_group(V.WORLD_REGIONS)]), "boolean")
     code = F.regexp_extract(F.upper(text), r"(?<=\()[A-Z]{2}(?=\))|(?<=[\s,])[A-Z]{2}$", 0)
-    return F.when(F.array_contains(known, code), code)
+    return F.when(known(code), code)
 
 
 def named_country(text: Column) -> Column:
@@ -74,16 +66,18 @@ def named_country(text: Column) -> Column:
 
     The whole text, a text ending in ", name" and "the name" are all cases of this one.
     """
-    rules = _rule_rows([(_phrase(name), code) for name, code in V.pairs(V.COUNTRY_NAMES)])
-    return _let(_phrase(text), lambda t: _first_code(rules, lambda rule: t.contains(rule["name"])))
+    names = _ranked(V.pairs(V.COUNTRY_NAMES))
+    return first_ranked(word_runs(F.lower(text), longest_key(names)), constant_lookup(names, _RANKED))
 
 
 def us_state(text: Column) -> Column:
     """``US`` where a state name stands in the text, or a state code ends it."""
-    names = F.transform(_words(V.US_STATES, ","), lambda name: F.concat(F.lit(" "), name, F.lit(" ")))
+    names = _set_of(V.words(V.US_STATES, ","))
+    is_name = constant_lookup(names, "boolean")
+    is_code = constant_lookup(_set_of(V.words(V.US_STATE_CODES)), "boolean")
     code = F.lower(F.regexp_extract(text, r"(?<=[\s,])[A-Za-z]{2}$", 0))
-    named = _let(_phrase(text), lambda t: F.exists(names, lambda name: t.contains(name)))
-    return F.when(named | F.array_contains(_words(V.US_STATE_CODES), code), F.lit("US"))
+    named = F.exists(word_runs(F.lower(text), longest_key(names)), lambda run: F.coalesce(is_name(run), F.lit(False)))
+    return F.when(named | F.coalesce(is_code(code), F.lit(False)), F.lit("US"))
 
 
 def default_cities() -> list[tuple[str, str]]:
@@ -94,17 +88,15 @@ def default_cities() -> list[tuple[str, str]]:
     return list(ranked.items())
 
 
+def city_of(text: Column, cities: list[tuple[str, str]]) -> Column:
+    """Country of the first of the (city, country) rules that the text equals or starts with."""
+    names = _ranked(cities)
+    return first_ranked(leading_runs(F.lower(text), longest_key(names)), constant_lookup(names, _RANKED))
+
+
 def default_city(text: Column) -> Column:
     """Country of the first built-in city the text equals or starts with."""
-    rules = _rule_rows(default_cities())
-    return _let(
-        F.concat(F.lower(text), F.lit(" ")),
-        lambda t: _first_code(
-            rules,
-            lambda rule: t.startswith(rule["name"])
-            & F.substring(t, F.length(rule["name"]) + 1, F.lit(1)).isin(" ", ","),
-        ),
-    )
+    return city_of(text, default_cities())
 
 
 def rank_cities(cities: DataFrame) -> DataFrame:
@@ -244,8 +236,8 @@ def lookup_locations(df: DataFrame, cache: DataFrame) -> DataFrame:
 
 # ---- full location info ----------------------------------------------------------------------
 @functools.cache
-def iso_countries() -> str:
-    """JSON map from lower-cased ISO 3166 names and two- and three-letter codes to the code.
+def iso_countries() -> dict[str, str]:
+    """Map from lower-cased ISO 3166 names and two- and three-letter codes to the code.
 
     Codes come from the JVM's own country list; only names that differ are listed by hand. A text
     that is both a name and a code counts as the name.
@@ -256,20 +248,14 @@ def iso_countries() -> str:
         country = locale("", code)
         name = V.ISO_NAMES.get(code) or country.getDisplayCountry(locale.ENGLISH)
         names[name.lower()] = codes[code.lower()] = codes[country.getISO3Country().lower()] = code
-    return json.dumps({**codes, **names})
-
-
-def _constant_map(text: str, value: str) -> Column:
-    return F.from_json(F.lit(text), f"map<string,{value}>")
+    return {**codes, **names}
 
 
 def _with_countries(texts: DataFrame, countries: DataFrame | None) -> DataFrame:
     """Adds the country a whole text and its tail name exactly."""
     if countries is None:
-        iso = _constant_map(iso_countries(), "string")
-        return texts.withColumns(
-            {f"{part}_country": F.try_element_at(iso, F.col(part)) for part in ("text", "tail")}
-        )
+        iso = constant_lookup(iso_countries())
+        return texts.withColumns({f"{part}_country": iso(F.col(part)) for part in ("text", "tail")})
     for part in ("text", "tail"):
         named = countries.select(
             F.col("key").alias("_key"), F.col("country_code").alias(f"{part}_country")
@@ -291,14 +277,12 @@ def location_info(locations: DataFrame, countries: DataFrame | None = None) -> D
         "location", F.lower(F.regexp_replace("location", r"(?U)^\s+|\s+$", "")).alias("text")
     ).withColumn("tail", last_part(F.col("text")))
     fields = ["country", "region", "lat", "lon"]
-    places = json.dumps({row[0]: dict(zip(fields, row[1:])) for row in V.PLACED_CITIES})
+    places = {row[0]: dict(zip(fields, row[1:])) for row in V.PLACED_CITIES}
     place = "struct<country: string, region: string, lat: double, lon: double>"
     found = _with_countries(texts, countries).withColumns(
         {
-            "city": F.try_element_at(_constant_map(places, place), F.col("text")),
-            "continent": F.try_element_at(
-                _constant_map(json.dumps(V.CONTINENT_NAMES), "string"), F.col("text")
-            ),
+            "city": constant_lookup(places, place)(F.col("text")),
+            "continent": constant_lookup(V.CONTINENT_NAMES)(F.col("text")),
         }
     )
     named = F.col("text_country").isNotNull()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from .skew import join_heavy
+
 
 def _home(contributors: DataFrame) -> DataFrame:
     return contributors.where(F.col("country_code").isNotNull()).select(
@@ -42,9 +44,10 @@ def org_geo_spread(repositories: DataFrame, links: DataFrame, contributors: Data
     owned = repositories.where(F.col("organization_id").isNotNull()).select(
         F.col("id").alias("repository_id"), "organization_id"
     )
-    people = links.join(owned, "repository_id").select("organization_id", "contributor_id").distinct()
+    people = join_heavy(links.select("repository_id", "contributor_id"), owned, "repository_id")
+    people = people.select("organization_id", "contributor_id").distinct()
     return (
-        people.join(_home(contributors), "contributor_id", "left")
+        join_heavy(people, _home(contributors), "contributor_id", "left")
         .groupBy("organization_id")
         .agg(
             F.count(F.lit(1)).alias("contributors"),
@@ -56,8 +59,7 @@ def org_geo_spread(repositories: DataFrame, links: DataFrame, contributors: Data
 def _repo_countries(links: DataFrame, contributors: DataFrame) -> DataFrame:
     """Distinct (repository, country); at most the ~250 country codes per repository."""
     return (
-        links.select("repository_id", "contributor_id")
-        .join(_home(contributors), "contributor_id")
+        join_heavy(links.select("repository_id", "contributor_id"), _home(contributors), "contributor_id")
         .select("repository_id", "country_code")
         .distinct()
     )

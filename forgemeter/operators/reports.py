@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from ..functions import fixed_values as V
 from .events import moment
+from .skew import join_heavy
 
 ROWS = "*"
 
@@ -212,9 +213,9 @@ def repos_of_org(repositories: DataFrame, organizations: DataFrame, login: str)
 
 
 def repos_with_org(repositories: DataFrame, organizations: DataFrame) -> DataFrame:
-    """Repositories of organizations with the organization's login."""
+    """Repositories of organizations with the organization's login, however many one has."""
     orgs = organizations.select(F.col("id").alias("organization_id"), F.col("login").alias("organization"))
-    return repositories.join(orgs, "organization_id")
+    return join_heavy(repositories.where(F.col("organization_id").isNotNull()), orgs, "organization_id")
 
 
 def org_repo_counts(organizations: DataFrame, repositories: DataFrame) -> DataFrame:
@@ -238,12 +239,8 @@ def repository_contributors(
     """(repository, contributor) names along the link table, for either direction."""
     people = contributors.select(F.col("id").alias("contributor_id"), F.col("login").alias("contributor"))
     repos = repositories.select(F.col("id").alias("repository_id"), F.col("full_name").alias("repository"))
-    return (
-        repo_links.select("contributor_id", "repository_id")
-        .join(repos, "repository_id")
-        .join(people, "contributor_id")
-        .select("repository", "contributor")
-    )
+    named = join_heavy(repo_links.select("contributor_id", "repository_id"), repos, "repository_id")
+    return join_heavy(named, people, "contributor_id").select("repository", "contributor")
 
 
 def contributor_organizations(
@@ -252,12 +249,8 @@ def contributor_organizations(
     """(contributor, organization) names along the link table, for either direction."""
     people = contributors.select(F.col("id").alias("contributor_id"), F.col("login").alias("contributor"))
     orgs = organizations.select(F.col("id").alias("organization_id"), F.col("login").alias("organization"))
-    return (
-        org_links.select("contributor_id", "organization_id")
-        .join(orgs, "organization_id")
-        .join(people, "contributor_id")
-        .select("contributor", "organization")
-    )
+    named = join_heavy(org_links.select("contributor_id", "organization_id"), orgs, "organization_id")
+    return join_heavy(named, people, "contributor_id").select("contributor", "organization")
 
 
 # ---- distributions and coverage -------------------------------------------------------------------

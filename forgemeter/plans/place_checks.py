@@ -135,6 +135,60 @@ def country_rules(spark, sf_dir):
     return _places(spark, sf_dir).select("location", G.country_rules(cleaned).alias("country_code"))
 
 
+# Every rule of every list, in texts made of the orders: a rule's name whole, behind and before other words and parts.
+def _rules():
+    kinds = [("country", V.pairs(V.COUNTRY_NAMES)), ("state", [(w, "US") for w in V.words(V.US_STATES, ",")]), ("city", G.default_cities())]
+    ends = [("end", [(code, code) for code, _ in V.by_group(V.WORLD_REGIONS)] + [(code.upper(), "US") for code in V.words(V.US_STATE_CODES)])]
+    rows = [(kind, rank, name, code) for kind, listed in kinds + ends for rank, (name, code) in enumerate(listed)]
+    return [(n, *row) for n, row in enumerate(rows)]
+
+
+_FORMS = ["{}", "near {} town", "{} zz", "{}, zz", "zz, {}", "x {}", "({})", "  {}", "{}ville", "{} {}"]
+
+
+def _rule_values():
+    rows = ", ".join(f"({n}, '{kind}', {rank}, {_quoted(name)}, '{code}')" for n, kind, rank, name, code in _rules())
+    forms = ", ".join(f"({n}, {_quoted(form)})" for n, form in enumerate(_FORMS))
+    return f"""rules AS (SELECT * FROM (VALUES {rows}) v(n, kind, rank, name, code)),
+               forms AS (SELECT * FROM (VALUES {forms}) v(form, pattern)),
+               places AS (SELECT DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN upper(replace(pattern, '{{}}', name)) ELSE replace(pattern, '{{}}', name) END AS location
+                          FROM orders JOIN rules ON n = o_orderkey % {len(_rules())} JOIN forms ON form = o_custkey % {len(_FORMS)})"""
+
+
+def _quoted(word):
+    return "'" + word.replace("'", "''") + "'"
+
+
+_RULE_CODES = r"""
+    SELECT location, coalesce(
+      (SELECT min(coded) FROM (SELECT coalesce(nullif(regexp_extract(upper(location), '\(([A-Z]{2})\)', 1), ''),
+                                               nullif(regexp_extract(upper(location), '[\s,]([A-Z]{2})$', 1), '')) AS coded) c
+       WHERE coded IN (SELECT name FROM rules WHERE kind = 'end' AND name = code)),
+      (SELECT arg_min(code, rank) FROM rules WHERE kind = 'country' AND contains(' ' || lower(location) || ' ', ' ' || name || ' ')),
+      CASE WHEN EXISTS (SELECT 1 FROM rules WHERE kind = 'state' AND contains(' ' || lower(location) || ' ', ' ' || name || ' '))
+             OR upper(regexp_extract(location, '[\s,]([A-Za-z]{2})$', 1)) IN (SELECT upper(w) FROM states) THEN 'US' END,
+      (SELECT arg_min(code, rank) FROM rules WHERE kind = 'city' AND starts_with(lower(location) || ' ', name)
+         AND substr(lower(location) || ' ', length(name) + 1, 1) IN (' ', ','))) AS country_code
+    FROM places"""
+
+
+def _rule_places(spark, sf_dir):
+    rules = spark.createDataFrame([(row[0], row[3]) for row in _rules()], "n int, name string")
+    forms = spark.createDataFrame(list(enumerate(_FORMS)), "form int, pattern string")
+    orders = S.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") % len(_rules())).cast("int").alias("n"), (F.col("o_custkey") % len(_FORMS)).cast("int").alias("form"))
+    text = F.replace(F.col("pattern"), F.lit("{}"), F.col("name"))
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.upper(text)).otherwise(text)
+    return orders.join(rules, "n").join(forms, "form").select(text.alias("location")).distinct()
+
+
+@check(
+    "country_rules_of_the_lists",
+    f"WITH {_rule_values()}, states AS (SELECT * FROM {_values([(w,) for w in V.words(V.US_STATE_CODES)])} v(w)) {_RULE_CODES}",
+)
+def country_rules_of_the_lists(spark, sf_dir):
+    return _rule_places(spark, sf_dir).select("location", G.country_rules(F.col("location")).alias("country_code"))
+
+
 @check(
     "country_last_part",
     """WITH t AS (SELECT DISTINCT k, location FROM customer JOIN seed ON k = c_nationkey

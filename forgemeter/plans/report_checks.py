@@ -607,6 +607,25 @@ def export_all_tables(spark, sf_dir):
     return report.select("table", "row_count")
 
 
+@check(
+    "exported_files",
+    """SELECT 'fm_contributors' AS "table", id, login, nullif(location, '') AS location FROM contributors
+       UNION ALL SELECT 'fm_organizations', id, login, nullif(location, '') FROM organizations""",
+)
+def exported_files(spark, sf_dir):
+    """The rows of the files that :func:`export_all_tables` wrote."""
+    S.contributors(spark, sf_dir).createOrReplaceTempView("fm_contributors")
+    S.organizations(spark, sf_dir).createOrReplaceTempView("fm_organizations")
+    names = ["fm_contributors", "fm_organizations"]
+    files = K.export_all_tables(spark, fresh_path(spark, "export"), names).collect()
+    parts = []
+    for file in files:
+        columns = spark.table(file["table"]).schema
+        rows = spark.read.csv(file["path"], header=True, schema=columns)
+        parts.append(rows.select(F.lit(file["table"]).alias("table"), "id", "login", "location"))
+    return parts[0].unionByName(parts[1])
+
+
 @check("export_query_csv", f"SELECT id, login, nullif(location, '') AS location, repo_count FROM ({TOP_ORGS})")
 def export_query_csv(spark, sf_dir):
     path = K.export_query_csv(top_organizations(spark, sf_dir), fresh_path(spark, "query.csv"))

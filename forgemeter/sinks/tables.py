@@ -6,7 +6,7 @@ part files in name order hold the rows in order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import ENTITIES
 
@@ -35,17 +35,14 @@ def export_all_tables(
     spark: SparkSession, folder: str, tables: list[str] | None = None
 ) -> DataFrame:
     """Exports the named (else all) tables and temporary views of the session's catalog; returns
-    (table, path, row_count)."""
+    (table, path, row_count). Rows are counted as they are written, so a table is evaluated once."""
     names = tables or [found.name for found in spark.catalog.listTables()]
-    report = None
+    report = []
     for name in names:
-        df = spark.table(name)
-        path = export_table_csv(df, folder, name)
-        counted = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table"), F.lit(path).alias("path"), "row_count"
-        )
-        report = counted if report is None else report.unionByName(counted)
-    return report
+        written = Observation()
+        counted = spark.table(name).observe(written, F.count(F.lit(1)).alias("row_count"))
+        report.append((name, export_table_csv(counted, folder, name), written.get["row_count"]))
+    return spark.createDataFrame(report, "table string, path string, row_count long")
 
 
 def organization_export(stats: DataFrame, organizations: DataFrame) -> DataFrame:
