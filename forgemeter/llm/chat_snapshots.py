@@ -6,8 +6,9 @@ role and text to running sums, so a prefix hash costs one addition per turn and
 prefix hashes keep maximal conversations (of equal ones the least id), and only these are rendered.
 
 Running sums go in two levels, blocks of turns first, so a conversation with a third of all turns is
-spread over many groups; rendering gives one row per block of ``PART_TURNS`` turn numbers (``part``, null for
-turns without a number) for the same reason. Until then hashes stand for the texts.
+spread over many groups. Rendering gives a row per ``PART_TURNS`` turns for the same reason: parts are numbered from
+0 and every row has the number of parts, so a conversation of up to 1,024 turns is one row. Until then hashes
+stand for the texts.
 Equal conversations are counted before the anti-join, so a very common one is one row there.
 
 Defined cases: turns are ordered by turn (null last), role, hash; a turn logged twice counts once; null roles
@@ -85,21 +86,23 @@ def maximal(prefix_rows: DataFrame) -> DataFrame:
 def render(chats: DataFrame, kept: DataFrame) -> DataFrame:
     """One row per kept conversation and part: its turns, in order, between role marks.
 
-    ``kept`` has conv, block, h0, h1 and position of every turn to render. Texts are shuffled once, by
-    the same keys as the rows that they end in.
+    ``kept`` has conv, block, h0, h1 and position of every turn to render. Part n holds the turns at positions
+    ``PART_TURNS`` n + 1 and on, however they are numbered.
     """
-    place = F.struct(F.struct("h0", "h1").alias("key"), F.col("position").alias("value"))
-    places = kept.groupBy("conv", "conv_id", "n_turns", "n_logged", "block").agg(F.map_from_entries(F.collect_list(place)).alias("places"))
-    texts = keyed(chats).select("conv", "block", "role", "text", F.struct("h0", "h1").alias("key"))
+    key = ["conv", "block", "h0", "h1"]
     marked = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")), F.lit("\n<|end|>\n"))
-    turn = F.struct(F.try_element_at("places", F.col("key")).alias("position"), marked.alias("turn_text"))
-    grouped = texts.join(places, ["conv", "block"]).groupBy("conv", "conv_id", "n_turns", "n_logged", "block")
-    rows = grouped.agg(F.sort_array(F.collect_set(turn)).alias("ts"))
-    part = F.when(F.col("block") < 2**62, F.col("block")).cast("int").alias("part")
-    return rows.select("conv_id", part, "n_turns", "n_logged", F.array_join(F.transform("ts", lambda t: t["turn_text"]), "").alias("rendered"))
+    texts = keyed(chats).select(*key, marked.alias("turn_text"))
+    placed = texts.join(kept.select(*key, "conv_id", "n_turns", "n_logged", "position"), key)
+    part = F.floor((F.col("position") - 1) / F.lit(float(PART_TURNS))).cast("int")
+    turn = F.struct("position", "turn_text")
+    rows = placed.groupBy("conv", "conv_id", "n_turns", "n_logged", part.alias("part")).agg(F.sort_array(F.collect_set(turn)).alias("ts"))
+    n_parts = F.ceil(F.col("n_turns") / F.lit(float(PART_TURNS))).cast("int")
+    return rows.select(
+        "conv_id", "part", n_parts.alias("n_parts"), "n_turns", "n_logged", F.array_join(F.transform("ts", lambda t: t["turn_text"]), "").alias("rendered")
+    )
 
 
 def formatted(chats: DataFrame) -> DataFrame:
-    """conv_id, part, n_turns, n_logged, rendered of every maximal conversation."""
+    """conv_id, part, n_parts, n_turns, n_logged, rendered of every maximal conversation."""
     rows = stored(prefixes(turns(chats)), "chat-prefixes")
     return render(chats, rows.join(maximal(rows), "conv"))

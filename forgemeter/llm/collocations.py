@@ -38,8 +38,8 @@ SHARDS = 4
 ABSORBED_PERCENT = 50
 TOP = 2000
 BINS = 32
-CHUNK = 4_000_000  # bytes of text mined at a time
-HELD = 16_000_000  # characters that wait in a task for others of their language and shard
+CHUNK = 3_000_000  # bytes of text mined at a time
+HELD = 10_000_000  # characters that wait in a task for others of their language and shard
 FILTER_BITS = 28  # 2^28 bits, 32 MB, at most
 
 _BREAK = b"\xff"  # no byte of UTF-8; stands between pieces
@@ -48,7 +48,7 @@ _ROW_BITS = 15  # a row of the filter as Spark builds it: 2^15 bits
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [((n + 1) * 0xD1342543DE82EF95) % 2**64 for n in range(64)]  # one a shard
 
-_MINED = "lang string, shard int, phrase string, key long, n long"
+_MINED = "lang string, part long, phrase string, key long, n long"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -91,11 +91,17 @@ def build_filter(keys: DataFrame) -> Filter:
     rows = place.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(bit).alias("bits"))
     bits = np.zeros((1 << width) // 8, np.uint8)
     step = (1 << _ROW_BITS) // 8
-    for r in rows.toLocalIterator():
+    for r in rows.collect():  # FILTER_BITS bits at most
         bits[r["row"] * step : (r["row"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)[:step]
     return Filter(bits, width)
 
 
+def part_number(lang: str, shard: int) -> int:
+    """A signed 64-bit number for a language's shard: rows that are shuffled carry it in place of both."""
+    number = xxhash.xxh3_64_intdigest(lang.encode()) ^ _SALTS[shard]
+    return number - 2**64 if number >= 2**63 else number
+
+
 def word_keys(vocabulary: _Words, lang: str) -> np.ndarray:
     """Hashes of the chunk's words, told apart by language."""
     seed = xxhash.xxh3_64_intdigest(lang.encode())
@@ -106,20 +112,20 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return _mixed(left * _MIX + (right ^ (right >> np.uint64(29))))
 
 
-def salted(keys: np.ndarray, shard: int) -> np.ndarray:
-    return keys ^ np.uint64(_SALTS[shard])
+def salted(keys: np.ndarray, part: int) -> np.ndarray:
+    """Keys told apart by the shard as well."""
+    return keys ^ np.uint64(part % 2**64)
 
 
-def _salt(key: Column, shard: Column) -> Column:
-    signed = [s - 2**64 if s >= 2**63 else s for s in _SALTS[:SHARDS]]
-    return key.bitwiseXOR(F.element_at(F.array(*[F.lit(s).cast("long") for s in signed]), shard + 1))
+def _salted(key: Column, part: Column) -> Column:
+    return key.bitwiseXOR(part)
 
 
 class Chunk:
     """Words of one language and shard: numbers of the words, keys, and which places start a pair or a triple."""
 
     def __init__(self, lang: str, shard: int, words: list[bytes], own: int):
-        self.lang, self.shard = lang, shard
+        self.lang, self.part = lang, part_number(lang, shard)
         vocabulary = _Words()
         vocabulary[_BREAK]
         self.ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
@@ -144,7 +150,7 @@ class Chunk:
         """Which neighbours are a pair that the filter of this shard's pairs has."""
         codes, back = np.unique(self.pair_codes(), return_inverse=True)
         keys = pair_keys(self.keys[codes // len(self.words)], self.keys[codes % len(self.words)])
-        return frequent.has(salted(keys, self.shard))[back]
+        return frequent.has(salted(keys, self.part))[back]
 
     def triples(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct triples at the places: the three words, count."""
@@ -154,48 +160,48 @@ class Chunk:
         return first // len(self.words), first % len(self.words), codes3 % len(self.words), n
 
 
-def _rows(chunk: Chunk, shard: int | None, phrases: list[bytes] | None, keys: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
-    size = len(n)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([chunk.lang] * size, pa.string()),
-            pa.array([shard] * size, pa.int32()),
-            pa.array([p.decode() for p in phrases], pa.string()) if phrases is not None else pa.nulls(size, pa.string()),
-            pa.array(keys.view(np.int64)) if keys is not None else pa.nulls(size, pa.int64()),
-            pa.array(n.astype(np.int64)),
-        ],
-        names=["lang", "shard", "phrase", "key", "n"],
-    )
+def _rows(n: np.ndarray, lang: str | None = None, part: int | None = None, phrases: list[bytes] | None = None, keys: np.ndarray | None = None) -> pa.RecordBatch:
+    def same(value, kind: pa.DataType) -> pa.Array:
+        return pa.nulls(len(n), kind) if value is None else pa.repeat(pa.scalar(value, kind), len(n))
+
+    columns = [
+        same(lang, pa.string()),
+        same(part, pa.int64()),
+        pa.nulls(len(n), pa.string()) if phrases is None else pa.array([p.decode() for p in phrases], pa.string()),
+        pa.nulls(len(n), pa.int64()) if keys is None else pa.array(keys.view(np.int64)),
+        pa.array(n.astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "part", "phrase", "key", "n"])
 
 
 def mine_words(chunk: Chunk) -> Iterator[pa.RecordBatch]:
     n = np.bincount(chunk.ids[: chunk.own], minlength=len(chunk.words))[1:]
     seen = np.flatnonzero(n)
-    yield _rows(chunk, chunk.shard, [chunk.words[i + 1] for i in seen], chunk.keys[1:][seen], n[seen])
+    yield _rows(n[seen], chunk.lang, chunk.part, [chunk.words[i + 1] for i in seen], chunk.keys[1:][seen])
 
 
 def mine_pairs(chunk: Chunk, frequent_words: Filter) -> Iterator[pa.RecordBatch]:
     """Pairs whose words are both frequent in the shard, by their hashes."""
-    frequent = frequent_words.has(salted(chunk.keys, chunk.shard))[chunk.ids]
+    frequent = frequent_words.has(salted(chunk.keys, chunk.part))[chunk.ids]
     left, right, n = chunk.pairs(chunk.pair & frequent[:-1] & frequent[1:])
-    yield _rows(chunk, chunk.shard, None, pair_keys(chunk.keys[left], chunk.keys[right]), n)
+    yield _rows(n, part=chunk.part, keys=pair_keys(chunk.keys[left], chunk.keys[right]))
 
 
 def mine_triples(chunk: Chunk, frequent_pairs: Filter, candidates: Filter) -> Iterator[pa.RecordBatch]:
     """Counts of candidate pairs; triples whose pairs are both frequent in the shard, by their hashes."""
     left, right, n = chunk.pairs(chunk.pair)
     known = candidates.has(pair_keys(chunk.keys[left], chunk.keys[right]))
-    yield _rows(chunk, None, [chunk.words[a] + b" " + chunk.words[b] for a, b in zip(left[known], right[known])], None, n[known])
+    yield _rows(n[known], chunk.lang, phrases=[chunk.words[a] + b" " + chunk.words[b] for a, b in zip(left[known], right[known])])
     frequent = chunk.frequent_pairs(frequent_pairs)
     a, b, c, n = chunk.triples(chunk.triple & frequent[:-1] & frequent[1:])
-    yield _rows(chunk, chunk.shard, None, pair_keys(pair_keys(chunk.keys[a], chunk.keys[b]), chunk.keys[c]), n)
+    yield _rows(n, part=chunk.part, keys=pair_keys(pair_keys(chunk.keys[a], chunk.keys[b]), chunk.keys[c]))
 
 
 def count_triples(chunk: Chunk, candidates: Filter) -> Iterator[pa.RecordBatch]:
     a, b, c, n = chunk.triples(chunk.triple)
     known = candidates.has(pair_keys(pair_keys(chunk.keys[a], chunk.keys[b]), chunk.keys[c]))
     phrases = [b" ".join((chunk.words[x], chunk.words[y], chunk.words[z])) for x, y, z in zip(a[known], b[known], c[known])]
-    yield _rows(chunk, None, phrases, None, n[known])
+    yield _rows(n[known], chunk.lang, phrases=phrases)
 
 
 def stretches(texts: list[str]) -> Iterator[tuple[list[bytes], int]]:
@@ -233,9 +239,11 @@ def _stream(mine: Callable[..., Iterator[pa.RecordBatch]], *filters) -> Callable
             held.clear()
 
         for batch in batches:
-            for lang, shard, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "shard", "text"))):
-                held.setdefault((lang, shard), []).append(text)
-                size += len(text)
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                for lang, shard, text in zip(*(rows.column(c).to_pylist() for c in ("lang", "shard", "text"))):
+                    held.setdefault((lang, shard), []).append(text)
+                    size += len(text)
                 if size > HELD:
                     yield from flush()
                     size = 0
@@ -258,23 +266,24 @@ def phrases(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     ).filter("text IS NOT NULL")
 
-    words = stored(_mined(dealt, mine_words).groupBy("lang", "shard", "phrase", "key").agg(F.sum("n").alias("n")), "phrase-words")
-    sizes = words.groupBy("lang", "shard").agg(F.sum("n").alias("in_shard"))
-    shares = stored(sizes.join(sizes.groupBy("lang").agg(F.sum("in_shard").alias("in_lang")), "lang"), "phrase-shares")
+    words = stored(_mined(dealt, mine_words).groupBy("lang", "part", "phrase", "key").agg(F.sum("n").alias("n")), "phrase-words")
+    sizes = words.groupBy("lang", "part").agg(F.sum("n").alias("in_shard"))
+    shares = sizes.join(sizes.groupBy("lang").agg(F.sum("in_shard").alias("in_lang")), "lang")
+    shares = stored(shares.select("part", "in_shard", "in_lang"), "phrase-shares")
 
     def frequent(counts: DataFrame) -> DataFrame:
         """What reaches the shard's share of the support: n / in_shard >= support / in_lang."""
         wide = "decimal(19,0)"
         reached = F.col("n").cast(wide) * F.col("in_lang").cast(wide) >= F.lit(support).cast(wide) * F.col("in_shard").cast(wide)
-        return counts.join(shares, ["lang", "shard"]).filter(reached).select("shard", "key")
+        return counts.join(shares, "part").filter(reached).select("part", "key")
 
     def in_shards(found: DataFrame) -> Filter:
-        return build_filter(found.select(_salt(F.col("key"), F.col("shard")).alias("key")))
+        return build_filter(found.select(_salted(F.col("key"), F.col("part")).alias("key")))
 
-    pairs = _mined(dealt, mine_pairs, in_shards(frequent(words))).groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+    pairs = _mined(dealt, mine_pairs, in_shards(frequent(words))).groupBy("part", "key").agg(F.sum("n").alias("n"))
     pairs = stored(frequent(pairs), "phrase-pairs")
     both = _mined(dealt, mine_triples, in_shards(pairs), build_filter(pairs.select("key").distinct()))
-    both = stored(both.groupBy("lang", "shard", "phrase", "key").agg(F.sum("n").alias("n")), "phrase-triples")
+    both = stored(both.groupBy("lang", "part", "phrase", "key").agg(F.sum("n").alias("n")), "phrase-triples")
     triples = stored(frequent(both.filter("key IS NOT NULL")).select("key").distinct(), "phrase-candidates")
     counted = _mined(dealt, count_triples, build_filter(triples)).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 

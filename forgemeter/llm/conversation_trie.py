@@ -133,7 +133,8 @@ def end_hashes(members: DataFrame) -> DataFrame:
     """seq, ends_sha256 from (seq, conv): the hash of the ids in numeric order with commas between."""
     pieces = members.groupBy("seq", F.shiftright("conv", ID_RANGE_BITS).alias("piece")).agg(F.sort_array(F.collect_set("conv")).alias("convs"))
     pieces = pieces.select("seq", "piece", F.array_join(F.transform("convs", lambda c: c.cast("string")), ",").alias("ids"))
-    in_order = pieces.repartition("seq").sortWithinPartitions("seq", "piece")
+    # Written before they meet: lists are put together by (sequence, piece), and one task reads only the pieces.
+    in_order = stored(pieces, "chat-ends").repartition("seq").sortWithinPartitions("seq", "piece")
     return in_order.select("seq", "ids").mapInArrow(_hash_lists, "seq long, ends_sha256 string")
 
 

@@ -7,15 +7,23 @@ optional, a part met again becomes repeated, parts that come back in another ord
 text that differs becomes a slot. Alignment of two wrappers is the same step, so wrappers are merged inside a task,
 then per host and salt, then per host: every page takes part, and a hot host is never gathered whole.
 
-The host's wrapper says where article or main marks are: the outermost of them are the article's places. A page is
-read below these and its own marks if they hold nearly all of its text outside links and boilerplate, and whole
-otherwise, so no text is lost to places that other pages chose. Slots of named boilerplate (menus, adverts, comments
-and the like) go, and so does text beside text that differs which is the same wherever it is, on nearly all pages of
-the host, at least five of which differ in their longest text. Blocks of links alone count in the article's places and
-in the element named as content.
+The host's wrapper alone decides what is text; a page read without its decisions keeps all text. It says
+
+* which places hold the article: those marked as article or main, the outermost of them, else the place to which
+  one part after the other leads that has most of the text which differs from page to page;
+* what goes: elements whose tag, role or attributes make them navigation, forms, asides or hidden; slots with the
+  same text on nearly all pages of the host (at least five of which differ in their longest text); outside the article's
+  places also slots whose texts come back on other pages, links alone, and repeated groups of records (comments,
+  teasers), where the pages show them;
+* names of classes and ids only break ties: an element is taken for boilerplate by its name if all words of it
+  say so, and not where it holds most of an article's text.
+
+A page is read below the article's places and its own marks if they hold nearly all of its remaining text, and whole
+otherwise, so no text is lost to places that other pages chose.
 
 Defined cases: a null page gives an empty text; pages without a host share one wrapper; unclosed and stray tags
-are closed or ignored as browsers do; an empty table gives no rows; repeated rows each get a row.
+are closed or ignored as browsers do, a tag that never ends is text; pages are read in time in proportion to
+their length; an empty table gives no rows; repeated rows each get a row.
 """
 
 from __future__ import annotations
@@ -32,16 +40,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.skew import join_heavy
 from .common import stored
 
 SALTS = 64
+#: Rules of all hosts up to this size go to every executor.
+RULES_CHARS = 32_000_000
 _DEPTH = 150  # the text of deeper elements is read as part of the one at this depth, of boilerplate not at all
 _HOSTS_HELD = 5000
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S
-)
+_START = re.compile(r"<(?:(/?)([a-zA-Z][\w:-]*)|[!?])")
+_QUOTED = re.compile(r"=\s*[\"']|>")
 _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_SILENT = {"script", "style", "noscript", "template", "iframe", "svg", "textarea", "select", "object", "title", "button", "canvas", "audio", "video", "map", "datalist"}
+_SILENT = {"script", "style", "template", "iframe", "svg", "textarea", "select", "title", "button", "datalist"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -56,48 +66,121 @@ _DROPPED_NAMES = set(
     "subscription signup share sharing social related recommended recommendations comment comments commentlist disqus reply replies respond "
     "widget widgets pagination pager login search searchform toolbar skip copyright paywall disclaimer".split()
 )
-_ARTICLE_DROPPED = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related", "recommended"}
+_NEUTRAL_NAMES = set(
+    "box list wrapper wrap container section area bar block inner outer top bottom left right site page global link links icon icons button buttons form item "
+    "items thread header title unit slot panel row col column primary secondary mobile desktop post article entry blog js id main and the of".split()
+)
 _CONTENT_NAMES = {"content", "article", "articlebody", "post", "entry", "story", "text", "body", "maincontent", "main"}
 _OWN_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "th", "blockquote", "pre", "dd", "dt", "figcaption", "caption"}
 
 
+#: How an element's own marks speak against it: not at all, by the words of its name, by its tag, role or attributes.
+NONE, NAMED, MARKED = 0, 1, 2
+
+
 class Node:
-    __slots__ = ("tag", "sig", "dropped", "kids", "main", "within")
+    __slots__ = ("tag", "sig", "hint", "kids", "main", "within")
 
-    def __init__(self, tag: str, sig: str, dropped: bool = False, main: bool = False) -> None:
-        self.tag, self.sig, self.dropped, self.main = tag, sig, dropped, main
+    def __init__(self, tag: str, sig: str, hint: int = NONE, main: bool = False) -> None:
+        self.tag, self.sig, self.hint, self.main = tag, sig + "!" * hint, hint, main
         self.within = main  # in an article's mark, its own or an outer one's; set when opened
         self.kids: list[Node | str] = []
 
 
+def _words(name: str) -> set[str]:
+    return {w for w in re.split(r"[^a-z]+", name) if w}
+
+
+def _says_boilerplate(name: str) -> bool:
+    """Whether a name's words are all of boilerplate or neutral, and some are of boilerplate."""
+    words = set() if name.startswith(("has-", "with-", "no-", "is-")) else _words(name)
+    return bool(words & _DROPPED_NAMES) and words <= _DROPPED_NAMES | _NEUTRAL_NAMES
+
+
 def _opened(tag: str, attributes: str, in_article: bool) -> Node | None:
-    """The element if it counts for the structure: a block, or something whose names say what it is."""
-    names: list[str] = []
+    """The element if it counts for the structure: a block, or something whose marks say what it is."""
+    classes: list[str] = []
+    ids: list[str] = []
     role, hidden, main = "", False, tag in ("article", "main")
     if attributes and "=" in attributes or "hidden" in attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
-                names += value.split()
+                (classes if key == "class" else ids).extend(value.split())
             elif key == "role":
                 role = value.strip()
             elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
                 hidden = True
             elif key == "itemprop" and value == "articlebody":
                 main = True
-    words = {w for name in names if not name.startswith(("has-", "with-", "no-", "is-")) for w in re.split(r"[^a-z]+", name) if w}
-    if tag in ("html", "body", "main"):
-        dropped = hidden
-    elif tag == "article":
-        dropped = hidden or bool(words & _ARTICLE_DROPPED)
-    else:
-        top = not in_article and (tag == "header" or "header" in words and "article" not in words and "post" not in words)
-        dropped = hidden or tag in _DROPPED_TAGS or role in _DROPPED_ROLES or bool(words & _DROPPED_NAMES) or top
     main = main or role == "main"
-    if tag not in _BLOCK and not dropped and not main:
+    header = any({"header"} <= (w := _words(name)) and not w & {"article", "post", "entry"} for name in classes + ids)
+    if hidden:
+        hint = MARKED
+    elif tag in ("html", "body") or main and tag != "article":
+        hint = NONE
+    elif tag in _DROPPED_TAGS or role in _DROPPED_ROLES or not in_article and tag == "header":
+        hint = MARKED
+    elif any(map(_says_boilerplate, classes + ids)) or not in_article and header and tag not in _OWN_TEXT:
+        hint = NAMED
+    else:
+        hint = NONE
+    if tag not in _BLOCK and not hint and not main:
         return None
-    name = re.sub(r"\d+", "#", names[0]) if names else ""
-    return Node(tag, f"{tag}.{name}" if name else tag, dropped, main and not dropped)
+    # An id counts as a name only where it says what the element is: ids are often unique, classes are not.
+    telling = sorted({word for name in ids for word in _words(name) & _CONTENT_NAMES})
+    name = re.sub(r"\d{2,}", "#", (classes + telling)[0]) if classes or telling else ""
+    return Node(tag, f"{tag}.{name}" if name else tag, hint, main and not hint)
+
+
+class _Page:
+    """Finds tags one after the other, each character looked at a bounded number of times."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.last_end = text.rfind(">")
+        self.last = {q: text.rfind(q) for q in "\"'"}
+        self.quotes_until = len(text)  # from here on quotes don't count: a tag that began here had no end with them
+
+    def end_of_tag(self, at: int) -> int:
+        """The place of the tag's ``>``, not one inside a quoted value; -1 without any."""
+        if at > self.last_end:
+            return -1
+        if at < self.quotes_until:
+            place = at
+            while found := _QUOTED.search(self.text, place):
+                if found[0] == ">":
+                    return found.start()
+                quote = found[0][-1]
+                if found.end() > self.last[quote]:
+                    break
+                place = self.text.find(quote, found.end()) + 1
+            self.quotes_until = at
+        return self.text.find(">", at)
+
+    def tags(self) -> Iterator[tuple[int, int, str, str, str]]:
+        """(start, end, slash, name, attributes); name is "" for comments and the like, "<![" for character data."""
+        text, at = self.text, 0
+        while found := _START.search(text, at):
+            start = found.start()
+            if found[2]:
+                end = self.end_of_tag(found.end())
+                if end < 0:
+                    at = found.end()
+                    continue
+                skip = yield start, end + 1, found[1], found[2].lower(), text[found.end() : end]
+                at = skip if skip else end + 1
+                continue
+            for begin, finish in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("", ">")):
+                if text.startswith(begin, start) and begin or not begin:
+                    end = text.find(finish, start + len(begin)) if finish != ">" or start < self.last_end else -2
+                    break
+            if end == -2:  # no end anywhere: text
+                at = found.end()
+                continue
+            at = len(text) if end < 0 else end + len(finish)
+            inner = text[start + 9 : end if end >= 0 else len(text)] if begin == "<![CDATA[" else ""
+            yield start, at, "", "<![" if inner else "", inner
 
 
 def parse(page: str | None) -> Node:
@@ -105,6 +188,7 @@ def parse(page: str | None) -> Node:
     root = Node("", "")
     stack, text, at = [root], page or "", 0
     links = 0  # depth of links: their text is marked by a leading NUL
+    ends: dict[str, bool] = {}  # silent tags: whether an end was found the last time
 
     opened: Counter[str] = Counter()  # open elements by tag, so that stray ends need no look through the stack
 
@@ -119,20 +203,21 @@ def parse(page: str | None) -> Node:
         if run:
             stack[-1].kids.append("\0" + run if links else run)
 
-    while at < len(text):
-        found = _TOKEN.search(text, at)
-        if not found:
-            add(text[at:])
+    tags = _Page(text).tags()
+    skip: int | None = None
+    while True:
+        try:
+            start, end, slash, tag, attributes = tags.send(skip)
+        except StopIteration:
             break
-        if found.start() > at:
-            add(text[at : found.start()])
-        at = found.end()
-        tag = (found[2] or "").lower()
-        if not tag:
-            if found[0].startswith("<![CDATA["):
-                add(found[0][9:].removesuffix("]]>"))
+        skip = None
+        if start > at:
+            add(text[at:start])
+        at = end
+        if not tag or tag == "<![":
+            add(attributes)
             continue
-        if found[1]:
+        if slash:
             if tag == "a":
                 links = max(0, links - 1)
             for n in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
@@ -146,9 +231,11 @@ def parse(page: str | None) -> Node:
                     stack[-1].kids.append(Node("br", ""))
             continue
         if tag in _SILENT:
-            if not found[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(text, at)
-                at = end.end() if end else len(text)
+            if not attributes.rstrip().endswith("/"):
+                closing = ends.get(tag)
+                found = re.compile(rf"</{tag}\s*>", re.I).search(text, at) if closing is None or closing else None
+                ends[tag] = bool(found)
+                at = skip = found.end() if found else len(text)
             continue
         if tag in _VOID:
             if tag in ("br", "hr"):
@@ -156,7 +243,7 @@ def parse(page: str | None) -> Node:
             continue
         if tag == "a":
             links += 1
-        node = _opened(tag, found[3], stack[-1].within)
+        node = _opened(tag, attributes, stack[-1].within)
         if node is None:
             continue
         if tag in _BLOCK:
@@ -176,26 +263,32 @@ def parse(page: str | None) -> Node:
         else:  # stays open so that ends match; what it holds goes to the element at the depth, or with the dropped
             if tag in _BLOCK:
                 stack[-1].kids.append(Node("br", ""))
-            if not node.dropped:
+            if not node.hint:
                 node.kids = stack[-1].kids
         stack.append(node)
         opened[tag] += 1
+    if at < len(text):
+        add(text[at:])
     return root
 
 
 # A wrapper is plain data: n (times seen), pages (that have it), order, kids by signature, in (how many of n have the kid),
 # rep, loop, chars and link chars of its own slot, text (the same everywhere, "" none yet, None: a slot), of (marks of up
-# to DIFFERENT pages that have this text), dropped, main.
+# to DIFFERENT pages that have this text), seen (of a slot without parts: for the VALUES least hashes of its texts, up to two
+# marks of pages that have it), hint, main.
 
 #: A text counts as constant on so many pages that differ in their longest text, and on this share of the host's pages; so
 #: much of a page's text is in the article's places where they are used.
 DIFFERENT = 5
 NEARLY_ALL = 0.9
+#: A part leads on to the article if it has this share of the text that differs.
+MOST = 0.6
+VALUES = 16
 
 
 def _longest(node: Node) -> str:
     """The longest run of text outside links and boilerplate; copies of a page share it."""
-    runs = [kid if isinstance(kid, str) else _longest(kid) for kid in node.kids if isinstance(kid, str) and kid[0] != "\0" or isinstance(kid, Node) and not kid.dropped]
+    runs = [kid if isinstance(kid, str) else _longest(kid) for kid in node.kids if isinstance(kid, str) and kid[0] != "\0" or isinstance(kid, Node) and not kid.hint]
     return max(runs, key=len, default="")
 
 
@@ -205,7 +298,7 @@ def _digest(text: str) -> str:
 
 def wrapper_of(node: Node, page: str | None = None) -> dict:
     page = _digest(" ".join(_longest(node).split())) if page is None else page
-    out = {"n": 1, "pages": 1, "of": [], "order": [], "kids": {}, "in": {}, "rep": [], "loop": False, "chars": 0, "links": 0, "text": "", "drop": node.dropped, "main": node.main}
+    out = {"n": 1, "pages": 1, "of": [], "order": [], "kids": {}, "in": {}, "rep": [], "loop": False, "chars": 0, "links": 0, "text": "", "seen": {}, "hint": node.hint, "main": node.main}
     before, own = None, []
     for kid in node.kids:
         if isinstance(kid, str):
@@ -228,7 +321,10 @@ def wrapper_of(node: Node, page: str | None = None) -> dict:
         before = kid.sig
     text = " ".join(filter(None, own))
     out["text"] = text if len(text) <= 500 else f"{text[:500]} #{_digest(text)}"
-    out["of"] = [page] if text and not out["kids"] else []
+    if text and not out["kids"]:
+        out["of"] = [page]
+        if node.tag not in _OWN_TEXT:
+            out["seen"] = {_digest(text)[:12]: [page[:12]]}
     return out
 
 
@@ -248,6 +344,7 @@ def merged(a: dict, b: dict, same_page: bool = False) -> dict:
     for sig, kid in b["kids"].items():
         kids[sig] = merged(kids[sig], kid, same_page) if sig in kids else kid
     constant = bool(a["text"]) and a["text"] == b["text"]
+    least = sorted({*a["seen"], *b["seen"]})[:VALUES]
     return {
         "n": a["n"] + b["n"],
         "pages": max(a["pages"], b["pages"]) if same_page else a["pages"] + b["pages"],
@@ -260,7 +357,8 @@ def merged(a: dict, b: dict, same_page: bool = False) -> dict:
         "chars": a["chars"] + b["chars"],
         "links": a["links"] + b["links"],
         "text": a["text"] if a["text"] == b["text"] else None,
-        "drop": a["drop"] and b["drop"],
+        "seen": {} if kids else {v: sorted({*a["seen"].get(v, ()), *b["seen"].get(v, ())})[:2] for v in least},
+        "hint": a["hint"],
         "main": a["main"] or b["main"],
     }
 
@@ -277,52 +375,133 @@ def expression(w: dict, sig: str = "") -> str:
 
 
 def _weight(w: dict) -> int:
-    """Characters outside links and boilerplate at or below an element."""
-    return 0 if w["drop"] else w["chars"] - w["links"] + sum(map(_weight, w["kids"].values()))
+    """Characters outside links and elements marked as boilerplate, at or below an element."""
+    return 0 if w["hint"] else w["chars"] - w["links"] + sum(map(_weight, w["kids"].values()))
+
 
+def _varying(w: dict) -> int:
+    """As :func:`_weight`, without text that is the same wherever it is."""
+    own = w["chars"] - w["links"] if w["text"] is None or w["pages"] < 2 else 0
+    return 0 if w["hint"] else own + sum(map(_varying, w["kids"].values()))
 
-def _paths(w: dict, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], dict]]:
+
+Path = tuple[str, ...]
+
+
+def _paths(w: dict, path: Path = ()) -> Iterator[tuple[Path, dict]]:
     yield path, w
     for sig in w["order"]:
-        if not w["kids"][sig]["drop"]:
+        if not w["kids"][sig]["hint"]:
             yield from _paths(w["kids"][sig], (*path, sig))
 
 
-def article_paths(w: dict) -> list[tuple[str, ...]]:
-    """The outermost marked places, as signatures from the root."""
-    out: list[tuple[str, ...]] = []
+def marked_paths(w: dict) -> list[Path]:
+    """The outermost places marked as article or main, as signatures from the root."""
+    out: list[Path] = []
     for path, x in _paths(w):
         if x["main"] and path and not any(path[: len(outer)] == outer for outer in out):
             out.append(path)
     return out
 
 
-def content_path(w: dict) -> tuple[str, ...]:
+def content_path(w: dict) -> Path:
     """The deepest element named as content with half of the text; () for none."""
     total = _weight(w)
-    named = [path for path, x in _paths(w) if path and set(re.split(r"[^a-z]+", path[-1].partition(".")[2])) & _CONTENT_NAMES and 2 * _weight(x) >= max(total, 1)]
+    named = [path for path, x in _paths(w) if path and _words(path[-1].partition(".")[2]) & _CONTENT_NAMES and 2 * _weight(x) >= max(total, 1)]
     return max(named, key=len, default=())
 
 
-def constant_paths(w: dict) -> list[tuple[str, ...]]:
+def leading_path(w: dict) -> Path:
+    """From the root on, one part after the other with most of the text that differs; down to a group of blocks."""
+    path: Path = ()
+    while True:
+        total = _varying(w)
+        heavy = [sig for sig in w["order"] if total and _varying(w["kids"][sig]) >= MOST * total]
+        if not heavy or heavy[0].partition(".")[0].rstrip("!") in _OWN_TEXT:
+            return path
+        path, w = (*path, heavy[0]), w["kids"][heavy[0]]
+
+
+def _own_texts(path: Path) -> bool:
+    return bool({s.partition(".")[0].rstrip("!") for s in path} & _OWN_TEXT)
+
+
+def constant_paths(w: dict) -> list[Path]:
     """Elements with the same text on nearly all pages of the host, beside text that differs."""
     places = list(_paths(w))
     if sum(x["chars"] for _, x in places if x["text"] is None) * 2 < sum(x["chars"] for _, x in places):
         return []
     return [
         path for path, x in places
-        if x["text"] and len(x["of"]) >= DIFFERENT and x["pages"] >= NEARLY_ALL * w["pages"] and not x["kids"] and not x["main"] and not {s.partition(".")[0] for s in path} & _OWN_TEXT
+        if x["text"] and len(x["of"]) >= DIFFERENT and x["pages"] >= NEARLY_ALL * w["pages"] and not x["kids"] and not x["main"] and not _own_texts(path)
     ]
 
 
+def _holds_records(w: dict) -> bool:
+    """Nearly all of its text is in a repeated part that is made of several parts itself."""
+    for sig, kid in w["kids"].items():
+        parts = (kid["chars"] > 0) + sum(_weight(k) > 0 for k in kid["kids"].values())
+        if _weight(kid) >= NEARLY_ALL * max(_weight(w), 1) and (sig in w["rep"] and parts > 1 or _holds_records(kid)):
+            return True
+    return False
+
+
+def _returns(w: dict) -> bool:
+    """A slot half of whose texts stand on pages that differ."""
+    return not w["kids"] and len(w["seen"]) > 1 and 2 * sum(len(marks) > 1 for marks in w["seen"].values()) >= len(w["seen"])
+
+
+def boilerplate_paths(w: dict, places: list[Path]) -> list[Path]:
+    """What the host's pages show as boilerplate beside the article's places; only hosts with pages enough that differ."""
+    if not places or w["pages"] < DIFFERENT:
+        return []
+    out: list[Path] = []
+
+    def look(x: dict, path: Path) -> None:
+        for sig in x["order"]:
+            kid, below = x["kids"][sig], (*path, sig)
+            if kid["hint"] or kid["main"] or below in places:
+                continue
+            if any(place[: len(below)] == below for place in places):
+                look(kid, below)
+            elif _returns(kid) or kid["pages"] >= DIFFERENT and (sig in x["rep"] and len(kid["kids"]) > 1 or _holds_records(kid)):
+                out.append(below)
+            else:
+                look(kid, below)
+
+    look(w, ())
+    return out
+
+
+def hinted_paths(w: dict, path: Path = (), inside: bool = False, share: int = 0) -> list[Path]:
+    """The elements whose own marks make them boilerplate; one that is only named so stays with most of an article's text."""
+    out: list[Path] = []
+    for sig in w["order"]:
+        kid, below = w["kids"][sig], (*path, sig)
+        if kid["hint"] == MARKED or kid["hint"] == NAMED and not (inside and _plain_weight(kid) > share / 2):
+            out.append(below)
+        else:
+            within = inside or kid["main"]
+            out += hinted_paths(kid, below, within, _plain_weight(kid) if within and not inside else share)
+    return out
+
+
+def _plain_weight(w: dict) -> int:
+    return w["chars"] - w["links"] + sum(_plain_weight(kid) for kid in w["kids"].values())
+
+
 def rules_of(w: dict) -> dict:
-    return {"article": [list(path) for path in article_paths(w)], "content": list(content_path(w)), "constant": [list(path) for path in constant_paths(w)]}
+    """What the wrapper says of its pages: places of the article, places whose links are text, and places that go."""
+    marked = marked_paths(w)
+    places = marked or [leading_path(w)]
+    dropped = hinted_paths(w) + constant_paths(w) + boilerplate_paths(w, [path for path in places if path])
+    return {"article": [list(path) for path in marked], "content": list(content_path(w)), "drop": [list(path) for path in dropped]}
 
 
 def blocks(root: Node, rules: dict) -> list[str]:
-    """Text blocks in page order: those of the article's places if they hold nearly all text, else of the page."""
-    article, constant = {tuple(path) for path in rules["article"]}, {tuple(path) for path in rules["constant"]}
-    content = tuple(rules["content"])
+    """Text blocks in page order without the places that go: those of the article's places if they hold nearly all text, else all."""
+    article, dropped = ({tuple(path) for path in rules.get(key, ())} for key in ("article", "drop"))
+    content = tuple(rules.get("content", ()))
     out: list[tuple[str, bool]] = []  # block, whether in the article's places
     run: list[str] = []
     chars = {True: 0, False: 0}
@@ -331,11 +510,11 @@ def blocks(root: Node, rules: dict) -> list[str]:
         own = sum(len(part.strip()) for part in run if part[0] != "\0")
         chars[inside] += own
         text = " ".join(references.unescape("".join(part.lstrip("\0") for part in run)).split())
-        if text and (own or inside or links):
+        if text and (own or inside or links or not rules):
             out.append((text, inside))
         run.clear()
 
-    def walk(node: Node, path: tuple[str, ...], inside: bool, links: bool) -> None:
+    def walk(node: Node, path: Path, inside: bool, links: bool) -> None:
         for kid in node.kids:
             if isinstance(kid, str):
                 run.append(kid)
@@ -344,11 +523,11 @@ def blocks(root: Node, rules: dict) -> list[str]:
                 run.append(" ")
                 continue
             below = (*path, kid.sig)
-            within = inside or kid.main or below in article
+            within = inside or kid.main and bool(rules) or below in article
             apart = kid.tag in _BLOCK or within != inside
             if apart:
                 flush(inside, links)
-            if kid.dropped or below in constant:
+            if below in dropped:
                 continue
             named = links or below == content
             walk(kid, below, within, named)
@@ -362,8 +541,9 @@ def blocks(root: Node, rules: dict) -> list[str]:
 
 
 def extract(page: str | None, rules: dict | None) -> str:
+    """The text of a page by the rules of its host, or, where these are None, by those of its own wrapper."""
     root = parse(page)
-    return " ".join(blocks(root, rules or rules_of(wrapper_of(root))))
+    return " ".join(blocks(root, rules_of(wrapper_of(root)) if rules is None else rules))
 
 
 def host_of(url: Column) -> Column:
@@ -432,5 +612,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["page_id", "url", "text", "n_chars"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = rows.join(rules, "host", "left").select("page_id", "url", "html", "rules")
-    return joined.mapInArrow(read, f"page_id {kind}, url string, text string, n_chars long")
+    small = (rules.agg(F.sum(F.length("host") + F.length("rules"))).first()[0] or 0) <= RULES_CHARS
+    # Beyond that size pages meet their host's rules in a join whose heavy hosts are dealt out in pieces.
+    joined = rows.join(F.broadcast(rules), "host", "left") if small else join_heavy(rows, rules, "host", "left")
+    return joined.select("page_id", "url", "html", "rules").mapInArrow(read, f"page_id {kind}, url string, text string, n_chars long")

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from .common import WORD, id_order, stored, text_hash
+from .common import WORD, id_order, stored, text_hash, unpacked, whole_row
 
 MIN_WORDS = 20
 BLANKS = " \t\n\v\f\r"
@@ -234,27 +234,33 @@ def cut(text: str | None, gone: list[int] | None) -> tuple[str | None, int]:
     return "\n".join(line for n, line in enumerate(lines) if n not in dropped), len(full)
 
 
-def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
-    """The rows of ``docs`` with ``text`` cut, and ``n_lines`` and ``n_deleted`` (lines with a word).
-
-    Columns of the input that have one of these names are replaced.
-    """
+def cut_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+    """row (all columns but text as one value), text (cut), n_lines and n_deleted (lines with a word) of every document."""
     tables = stored(line_tables(docs), "line-tables")
     gone = deleted_lines(tables, min_words, rare)
-    own = docs.drop("n_lines", "n_deleted", "gone").withColumns({"_id": id_order(F.col("doc_id")), "_hash": text_hash(F.col("text"))})
-    rows = own.join(gone, _KEY, "left").drop(*_KEY)
-    kept = [field for field in rows.schema.fields if field.name != "gone"]
+    own = docs.select(whole_row(docs, "text").alias("row"), "text", id_order(F.col("doc_id")).alias("_id"), text_hash(F.col("text")).alias("_hash"))
+    rows = own.join(gone, _KEY, "left").select("row", "text", "gone")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = batch.schema.names
-            columns = dict(zip(names, batch.columns))
-            done = [cut(t.as_py(), g.as_py()) for t, g in zip(columns["text"], columns.pop("gone"))]
-            numbers = [len(g) if g.is_valid else 0 for g in batch.column(names.index("gone"))]
-            columns["text"] = pa.array([text for text, _ in done], columns["text"].type)
-            columns["n_lines"] = pa.array([n for _, n in done], pa.int64())
-            columns["n_deleted"] = pa.array(numbers, pa.int64())
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
-
-    schema = T.StructType([*kept, T.StructField("n_lines", T.LongType()), T.StructField("n_deleted", T.LongType())])
-    return rows.mapInArrow(rewrite, schema)
+            row, text, gone = (batch.column(c) for c in ("row", "text", "gone"))
+            done = [cut(t.as_py(), g.as_py()) for t, g in zip(text, gone)]
+            columns = [
+                row,
+                pa.array([kept for kept, _ in done], text.type),
+                pa.array([n for _, n in done], pa.int64()),
+                pa.array([len(g) if g.is_valid else 0 for g in gone], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_lines", "n_deleted"])
+
+    numbers = [T.StructField("n_lines", T.LongType()), T.StructField("n_deleted", T.LongType())]
+    return rows.mapInArrow(rewrite, T.StructType([*rows.schema.fields[:2], *numbers]))
+
+
+def dedupe_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+    """The rows of ``docs`` with ``text`` cut, and ``n_lines`` and ``n_deleted`` (lines with a word).
+
+    Columns of the input that have one of these two names are replaced; see :func:`cut_lines` for a form that keeps them.
+    """
+    own = docs.drop("n_lines", "n_deleted")
+    return cut_lines(own, min_words, rare).select(*unpacked(own, "row", {"text": F.col("text")}), "n_lines", "n_deleted")

@@ -13,7 +13,7 @@ a hot source is spread over tens of thousands of groups. Rows per source and sha
 things gathered by source.
 
 Defined cases: a null or blank text has size 0 and is never taken; a null source is a source of its own,
-after all others; repeated rows are documents of their own; an empty table gives no rows.
+after all others; repeated rows are documents of their own; documents without an id are ordered by their text and copy; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import id_order, stored, text_hash, word_count
+from .common import id_order, stored, text_hash, unpacked, whole_row, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -30,8 +30,9 @@ MOST_REPEATS = 2
 BLOCK_WORDS = 1024
 LEAST_BLOCKS = 256
 SHARDS = 64
-#: Steps of the permutation of a source's blocks: block = (step * n + start) mod blocks; primes.
-STEPS, START = (1000003, 999983), 7919
+#: Steps of the permutation of a source's blocks, block = (step * n + start) mod blocks; primes. The seed and the source
+#: choose one of them and the start; the other step takes the place of one that divides the number of blocks.
+STEPS, OTHER_STEP = (1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121), 999983
 _DRAW_LIMIT = 500_000_000
 _SOURCE = ["no_source", "src"]
 
@@ -44,10 +45,14 @@ def documents_line(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"),
         word_count(F.col("text")).alias("size"),
         text_hash(F.col("text")).alias("hash"),
+        F.when(F.col("doc_id").isNull(), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))).alias("said"),
     )
     copy = F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy(*_SOURCE))
-    order = F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    return rows.withColumns({"copy": copy, "order": order, "bucket": F.substring(order, 1, 4)})
+    rows = rows.withColumn("copy", copy)
+    nameless = F.concat(F.lit(":"), F.col("said"), F.lit(":"), F.col("copy").cast("string"))
+    own = F.coalesce(F.col("doc_id").cast("string"), nameless)
+    order = F.md5(F.concat(F.lit("mix:"), own).cast("binary"))
+    return rows.withColumns({"order": order, "bucket": F.substring(order, 1, 4)}).drop("said")
 
 
 def source_targets(line: DataFrame) -> DataFrame:
@@ -118,8 +123,11 @@ def block_draws(targets: DataFrame, shards: int = SHARDS, seed: int = 0) -> Data
     chunk = 4096  # two explodes, so that no array grows with the input
     ranges = ranges.withColumn("at", F.explode(F.expr(f"sequence(0L, quota - 1, {chunk}L)")))
     drawn = ranges.withColumn("n", F.explode(F.expr(f"sequence(begin + at, begin + least(at + {chunk}, quota) - 1)")))
-    step = F.when(F.col("blocks") % STEPS[0] != 0, F.lit(STEPS[0])).otherwise(F.lit(STEPS[1])).cast("long")
-    block = ((F.col("n") % F.col("blocks")) * step + START) % F.col("blocks")
+    chance = F.md5(F.concat(F.lit(f"blocks:{seed}:"), F.col("source_no").cast("string")).cast("binary"))
+    start, choice = (F.conv(F.substring(chance, at, 8), 16, 10).cast("long") for at in (1, 9))
+    step = F.element_at(F.array(*[F.lit(s) for s in STEPS]), (choice % len(STEPS)).cast("int") + 1)
+    step = F.when(F.col("blocks") % step != 0, step).otherwise(F.lit(OTHER_STEP)).cast("long")
+    block = ((F.col("n") % F.col("blocks")) * step + start) % F.col("blocks")
     return drawn.select(
         "source_no",
         block.alias("block"),
@@ -175,12 +183,15 @@ def digest(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
 def mixed_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
     """The documents that the mix takes, whole rows, with ``taken`` and ``pieces``: where their words go.
 
-    Columns of the input that have one of these names are replaced.
+    Where the input has a column of one of these names, the new one is called ``mix_taken`` or ``mix_pieces``.
     """
     _, taken = _taken(docs, shards, seed)
-    own = docs.drop("taken", "pieces").withColumns(
-        {"__id": F.col("doc_id").cast("long"), "__hash": text_hash(F.col("text")), "__no": F.col("source").isNull(), "__src": F.coalesce(F.col("source").cast("string"), F.lit(""))}
+    own = docs.select(
+        whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("hash"),
+        F.col("source").isNull().alias("no"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"),
     )
-    own = own.withColumn("__copy", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__no", "__src")))
-    same = F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__hash") == F.col("_hash")) & (F.col("__copy") == F.col("_copy"))
-    return own.join(taken, same).drop("__id", "__hash", "__no", "__src", "__copy", "_id", "_hash", "_copy")
+    own = own.withColumn("copy", F.row_number().over(Window.partitionBy("id", "hash").orderBy("no", "src")))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")) & (F.col("copy") == F.col("_copy"))
+    present = {c.lower() for c in docs.columns}
+    new = [F.col(c).alias(f"mix_{c}" if c in present else c) for c in ("taken", "pieces")]
+    return own.join(taken, same).select(*unpacked(docs, "row"), *new)

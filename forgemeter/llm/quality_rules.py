@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import stored
+
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 WINDOW = 3
@@ -96,6 +98,24 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measured.withColumn("fail_bits", fails.cast("long"))
 
 
+_LEDGERS: dict[tuple[str, int], list[tuple[DataFrame, DataFrame]]] = {}
+
+
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger as a stored table; the same documents are measured once in an application, whatever reads it.
+
+    Documents are the same where Spark says that both frames are (``sameSemantics``). A later state of files
+    that were rewritten in place needs a session of its own.
+    """
+    key = (docs.sparkSession.sparkContext.applicationId, docs.semanticHash())
+    for known, table in _LEDGERS.get(key, []):
+        if known.sparkSession is docs.sparkSession and known.sameSemantics(docs):
+            return table
+    table = stored(ledger(docs), "quality-ledger")
+    _LEDGERS.setdefault(key, []).append((docs, table))
+    return table
+
+
 def fails(bits: Column, rules: list[str]) -> Column:
     return bits.bitwiseAND(F.lit(mask(rules))) != 0
 

@@ -16,6 +16,7 @@ from . import (
     line_dedup,
     merkle_fixity,
     mixing,
+    quality_gam,
     quality_rules,
     simhash,
     token_counts,
@@ -78,7 +79,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 FROM ledger
 """)
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judged(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    judged = quality_rules.judged(quality_rules.stored_ledger(table(spark, sf_dir, "documents")))
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return judged.select(*first, "n_lines", "fail_bits", "policy")
 
@@ -96,7 +97,7 @@ SELECT policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS failing, count(*)
 FROM cases, ledger GROUP BY ALL
 """)
 def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+    return quality_rules.ablations(quality_rules.stored_ledger(table(spark, sf_dir, "documents")))
 
 
 @query("op3_chat_snapshots", """
@@ -114,7 +115,7 @@ WITH turns AS (
   SELECT d.* FROM distinct_ones d
   WHERE NOT EXISTS (SELECT 1 FROM prefixes p JOIN whole w USING (conv_id) WHERE p.prefix = d.prefix AND p.position < w.n)
 )
-SELECT k.conv_id, CAST(0 AS INTEGER) AS part, CAST(k.n AS BIGINT) AS n_turns, k.n_logged,
+SELECT k.conv_id, CAST((t.position - 1) // 1024 AS INTEGER) AS part, CAST((k.n + 1023) // 1024 AS INTEGER) AS n_parts, CAST(k.n AS BIGINT) AS n_turns, k.n_logged,
   string_agg('<|' || t.role || '|>' || chr(10) || t.text || chr(10) || '<|end|>' || chr(10), '' ORDER BY t.position) AS rendered
 FROM kept k JOIN numbered t USING (conv_id) GROUP BY ALL
 """)
@@ -168,12 +169,14 @@ MIXING_SQL = """
 WITH line AS (
   SELECT doc_id, source, source IS NULL AS no_source, coalesce(source, '') AS src,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+    md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), ':' || md5(coalesce(text, '')) || ':'
+      || row_number() OVER (PARTITION BY doc_id, text ORDER BY source IS NULL, source))) AS place
   FROM documents
 ), sums AS (
   SELECT no_source, src, CAST(sum(size) AS BIGINT) AS source_size FROM line GROUP BY ALL
 ), weighed AS (
-  SELECT *, list_extract([3, 1, 2], 1 + CAST((row_number() OVER (ORDER BY no_source, src) - 1) % 3 AS INTEGER)) AS weight FROM sums
+  SELECT *, row_number() OVER (ORDER BY no_source, src) AS source_no,
+    list_extract([3, 1, 2], 1 + CAST((row_number() OVER (ORDER BY no_source, src) - 1) % 3 AS INTEGER)) AS weight FROM sums
 ), levels AS (
   SELECT *,
     (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, no_source, src
@@ -189,8 +192,10 @@ WITH line AS (
     CASE WHEN source_size > 0 THEN CAST(floor(target / source_size * CAST(ceil(source_size / length) AS BIGINT) + 0.5) AS BIGINT) ELSE 0 END AS quota
   FROM targets
 ), drawn AS (
-  SELECT no_source, src, ((n % blocks) * 1000003 + 7919) % blocks AS block, count(*) AS times
-  FROM (SELECT no_source, src, blocks, unnest(range(quota)) AS n FROM quotas) GROUP BY ALL
+  SELECT no_source, src, ((n % blocks) * (CASE WHEN blocks % step = 0 THEN 999983 ELSE step END) + start) % blocks AS block, count(*) AS times
+  FROM (SELECT no_source, src, blocks, unnest(range(quota)) AS n, CAST('0x' || substr(md5('blocks:0:' || source_no), 1, 8) AS BIGINT) AS start,
+          list_extract([1000003, 1000033, 1000037, 1000039, 1000081, 1000099, 1000117, 1000121], 1 + CAST(CAST('0x' || substr(md5('blocks:0:' || source_no), 9, 8) AS BIGINT) % 8 AS INTEGER)) AS step
+        FROM quotas) GROUP BY ALL
 ), placed AS (
   SELECT line.*, CAST(sum(size) OVER (PARTITION BY no_source, src ORDER BY place, size, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM line
 ), cut AS (
@@ -310,3 +315,8 @@ FROM ranked r JOIN (SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY la
 @query("op12_collocations", COLLOCATION_SQL)
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_quality_gam")
+def op13_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from .common import components, id_order, stored, text_hash
+from .common import components, id_order, stored, text_hash, unpacked, whole_row
 
 RADIUS = 4
 SHINGLE_WORDS = 4
@@ -184,6 +184,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, the first by id and then by text hash; its row comes whole."""
     key = F.struct(id_order(F.col("doc_id")).alias("_id"), F.col("_hash").alias("_hash"))
     chosen = near_duplicates(docs).groupBy("root").agg(F.min(key).alias("_key")).select("_key.*")
-    own = docs.withColumns({"_id": id_order(F.col("doc_id")), "_hash": text_hash(F.col("text"))})
+    own = docs.select(whole_row(docs).alias("row"), id_order(F.col("doc_id")).alias("_id"), text_hash(F.col("text")).alias("_hash"))
     rows = own.join(chosen, ["_id", "_hash"], "left_semi")
-    return rows.dropDuplicates(["_id", "_hash"]).drop("_id", "_hash")
+    return rows.dropDuplicates(["_id", "_hash"]).select(*unpacked(docs, "row"))

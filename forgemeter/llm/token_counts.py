@@ -4,7 +4,8 @@ A document keeps a segment tree over runs of pre-tokens: leaves hold the tokens
 points, inner nodes the sums. Leaves end only where a blank follows a character that is none: no
 pre-token crosses such a place, and what stands before it is cut the same whatever follows. An edit re-encodes
 the leaves that it touches, with the neighbour where it touches a leaf's border (whose safety rests on the characters
-beside it), and updates the sums above. Leaves and trees are columns of the document, so they can be stored and
+beside it) and updates the sums above; a region that has grown is cut into leaves again, so a leaf stays near its
+size whatever is inserted, and then the sums are made anew from the leaves' counts. Leaves and trees are columns of the document, so they can be stored and
 edited again; every document is counted in its own task, without a shuffle.
 
 Edits are (start, removed, added) in code points of the text before any of them. Defined cases: they are
@@ -31,11 +32,20 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _SAFE = re.compile(r"(?<=\S)(?=[ \n])")
 
 
+def rank_file(folder: str) -> bytes:
+    """The vocabulary; read on the driver only, tasks get it as a broadcast (a file of under a megabyte)."""
+    with open(f"{folder}/{RANKS}", "rb") as file:
+        return file.read()
+
+
 @cache
+def coder_of(ranks: bytes) -> tiktoken.Encoding:
+    known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=known, special_tokens={})
+
+
 def encoding(folder: str) -> tiktoken.Encoding:
-    with open(f"{folder}/{RANKS}", "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return coder_of(rank_file(folder))
 
 
 def leaf_texts(text: str) -> list[str]:
@@ -55,15 +65,17 @@ def count(text: str, coder: tiktoken.Encoding) -> int:
 def build(text: str | None, coder: tiktoken.Encoding) -> tuple[list[int], list[int]]:
     """(code points of each leaf, tree); the tree's node 1 is the root and node n has 2 n and 2 n + 1 below it."""
     leaves = leaf_texts(text or "")
+    return [len(leaf) for leaf in leaves], _tree_over([len(coder.encode_ordinary(leaf)) for leaf in leaves])
+
+
+def _tree_over(tokens: list[int]) -> list[int]:
     width = 1
-    while width < len(leaves):
+    while width < len(tokens):
         width *= 2
-    tree = [0] * (2 * width)
-    for n, leaf in enumerate(leaves):
-        tree[width + n] = len(coder.encode_ordinary(leaf))
+    tree = [0] * width + tokens + [0] * (width - len(tokens))
     for n in range(width - 1, 0, -1):
         tree[n] = tree[2 * n] + tree[2 * n + 1]
-    return [len(leaf) for leaf in leaves], tree
+    return tree
 
 
 def _set(tree: list[int], leaf: int, value: int) -> None:
@@ -86,7 +98,7 @@ def clipped(edits: list[tuple[int, int, str]], length: int) -> list[tuple[int, i
 
 def edit(text: str, chars: list[int], tree: list[int], edits: list[tuple[int, int, str]], coder: tiktoken.Encoding) -> tuple[str, list[int], list[int], int]:
     """The edited text, its leaves and tree, and the code points that were encoded again."""
-    chars, tree = chars or [0], list(tree)
+    chars, tree = list(chars) or [0], list(tree)
     begins = [0]
     for n in chars:
         begins.append(begins[-1] + n)
@@ -104,7 +116,8 @@ def edit(text: str, chars: list[int], tree: list[int], edits: list[tuple[int, in
             groups[-1][2].append((start, end, added))
         else:
             groups.append([first, last, [(start, end, added)]])
-    parts, chars, done, encoded = [], list(chars), 0, 0
+    parts, done, encoded = [], 0, 0
+    new_leaves: list[tuple[int, int, list[str], list[int]]] = []
     for first, last, own in groups:
         low, high = begins[first], begins[last + 1]
         pieces, at = [], low
@@ -115,10 +128,21 @@ def edit(text: str, chars: list[int], tree: list[int], edits: list[tuple[int, in
         parts += [text[done:low], region]
         done = high
         encoded += len(region)
-        for n in range(first, last + 1):
-            chars[n] = len(region) if n == first else 0
-            _set(tree, n, count(region, coder) if n == first else 0)
-    return "".join([*parts, text[done:]]), chars, tree, encoded
+        leaves = leaf_texts(region)
+        new_leaves.append((first, last, leaves, [len(coder.encode_ordinary(leaf)) for leaf in leaves]))
+    parts.append(text[done:])
+    if all(len(leaves) == last - first + 1 for first, last, leaves, _ in new_leaves):
+        for first, _, leaves, tokens in new_leaves:
+            for n, (leaf, held) in enumerate(zip(leaves, tokens)):
+                chars[first + n] = len(leaf)
+                _set(tree, first + n, held)
+        return "".join(parts), chars, tree, encoded
+    # Leaves were split or went: the other leaves keep their counts, only the sums are made again.
+    held = tree[len(tree) // 2 :][: len(chars)]
+    for first, last, leaves, tokens in reversed(new_leaves):
+        chars[first : last + 1] = [len(leaf) for leaf in leaves]
+        held[first : last + 1] = tokens
+    return "".join(parts), chars, _tree_over(held), encoded
 
 
 def _with_columns(rows: DataFrame, added: list[T.StructField], change) -> DataFrame:
@@ -140,10 +164,12 @@ def _with_columns(rows: DataFrame, added: list[T.StructField], change) -> DataFr
 def with_trees(docs: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     """The rows with leaf_chars, tree and n_tokens; columns of these names are replaced."""
     ints = T.ArrayType(T.IntegerType())
+    ranks = docs.sparkSession.sparkContext.broadcast(rank_file(folder))
     added = [T.StructField("leaf_chars", ints), T.StructField("tree", ints), T.StructField("n_tokens", T.LongType())]
 
     def change(columns: dict) -> dict:
-        built = [build(text.as_py(), encoding(folder)) for text in columns["text"]]
+        coder = coder_of(ranks.value)
+        built = [build(text.as_py(), coder) for text in columns["text"]]
         kind = pa.list_(pa.int32())
         return {"leaf_chars": pa.array([c for c, _ in built], kind), "tree": pa.array([t for _, t in built], kind), "n_tokens": pa.array([t[1] for _, t in built], pa.int64())}
 
@@ -157,6 +183,7 @@ def with_edits(rows: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
     encoded for them. Columns of these names are replaced.
     """
     fields = {field.name: field for field in rows.schema.fields}
+    ranks = rows.sparkSession.sparkContext.broadcast(rank_file(folder))
     added = [fields["text"], fields["leaf_chars"], fields["tree"], T.StructField("n_tokens", T.LongType()), T.StructField("n_encoded", T.LongType())]
 
     def change(columns: dict) -> dict:
@@ -164,7 +191,7 @@ def with_edits(rows: DataFrame, folder: str = TOKENIZERS) -> DataFrame:
         for text, chars, tree, edits in zip(*[columns[name] for name in ("text", "leaf_chars", "tree", "edits")]):
             own = [(e["start"], e["removed"], e["added"] or "") for e in edits.as_py() or ()]
             if text.is_valid and own:
-                out.append(edit(text.as_py(), chars.as_py(), tree.as_py(), own, encoding(folder)))
+                out.append(edit(text.as_py(), chars.as_py(), tree.as_py(), own, coder_of(ranks.value)))
             else:
                 out.append((text.as_py(), chars.as_py(), tree.as_py(), 0))
         kind = pa.list_(pa.int32())

@@ -145,7 +145,7 @@ def test_snapshots_collapse(spark):
 def test_snapshots_odd_cases(spark):
     rows = [(None, 0, "user", "x"), (None, 0, "user", "x"), (None, 1, None, None), (1, None, "user", ""), (1, 0, None, ""), (1, 0, None, ""), (2, 0, "", "")]
     got = sorted((r.conv_id or 0, r.n_turns, r.n_logged) for r in chat_snapshots.formatted(chats(spark, rows)).collect())
-    assert got == [(0, 1, 1), (0, 1, 1), (1, 2, 1), (1, 2, 1), (2, 1, 1)]  # conversation 1 has a part without a number
+    assert got == [(0, 1, 1), (0, 1, 1), (1, 2, 1), (2, 1, 1)]
     assert chat_snapshots.formatted(chats(spark, rows).limit(0)).count() == 0
 
 
@@ -159,3 +159,77 @@ def test_long_conversation_comes_in_parts(spark):
 def test_chats_run_no_python(spark, sf_dir):
     plan = queries.QUERIES["op3_chat_snapshots"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# Wrappers that tell the article by structure alone
+
+
+def told_by_structure(n):
+    """A page whose classes say nothing: menu, notice, article, rotating advert, comments and teasers in ``div.x``n."""
+    comments = "".join(f"<div class=x7>Reader {n * 7 + k}<p>I have something to say about part {n} of it, {k} times over.</p></div>" for k in range(n % 4))
+    teasers = "".join(f"<div class=x9><h3>Other story {n + k}</h3><p>Read what happened then, {n + k}.</p></div>" for k in range(3))
+    story = "".join(f"<p>Paragraph {k} of story {n}, which goes on for quite a while as stories do, with {n * k} things in it.</p>" for k in range(5 + n % 3))
+    quote = f"<div class=x4><p>A quote in story {n}.</p></div>" if n % 2 else ""
+    return (
+        "<body><div class=x1><ul><li><a href=/>Home</a><li><a href=/a>About</a></ul></div><div class=x2>We use small files to remember you.</div>"
+        f"<div class=x3><h1>Story {n}</h1>{story}{quote}</div><div class=x5>Buy brand {n % 3} now, it is good.</div><div class=x6>{comments}</div><div class=x8>{teasers}</div></body>",
+        " ".join(re.sub(r"<[^>]*>", " ", f"Story {n} {story}{quote}").split()),
+    )
+
+
+def test_classes_without_meaning_are_told_by_structure(spark):
+    made = [told_by_structure(n) for n in range(24)]
+    rows = [(n, "http://plain.example/x", page, "q", "q") for n, (page, _) in enumerate(made)]
+    got = {r.page_id: r.text for r in html_wrappers.main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {n: want for n, (_, want) in enumerate(made)}
+    for page, want in made[1:4]:
+        assert html_wrappers.extract(page, {}) != want  # without the host's rules all text stays
+        assert "small files" in html_wrappers.extract(page, {}) and "Home" in html_wrappers.extract(page, {})
+
+
+def test_names_do_not_take_text_from_an_article():
+    page = (
+        '<article><p>A reader may care.</p><div class="search-results-explained"><p>The search for truth goes on.</p></div>'
+        '<p class="social-history">Social history text.</p><noscript>One</noscript> <object>Two</object> <map>Three</map> <canvas>Four</canvas>'
+        '<div class="comment-list"><p>First!</p></div><div class="ad-box">Buy</div></article>'
+    )
+    assert html_wrappers.extract(page, None) == "A reader may care. The search for truth goes on. Social history text. One Two Three Four"
+    whole = "<article><div class=post><div class='comments'><p>" + "The article itself is in an element with an odd name. " * 5 + "</p></div><p>End.</p></div></article>"
+    assert html_wrappers.extract(whole, None).endswith("odd name. End.")
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', '<a ="', "<!", "<!--", '<a =">', "<script>", "</", '<p class="', "<", "<div><p>", "</p>"])
+def test_broken_pages_are_read_in_time_in_proportion(unit):
+    import time
+
+    start = time.perf_counter()
+    html_wrappers.extract("<article><p>Text " + unit * (300_000 // len(unit)), None)
+    assert time.perf_counter() - start < 4
+
+
+def test_tags_end_at_the_same_places_as_in_a_plain_reading():
+    page = "a<b title='x>y'>c</b><!-- <p> -->d<![CDATA[e<f]]><p class=\"q\">g<x'>h<br/>i < j <3 <unfinished"
+    assert html_wrappers.extract(page, {}) == "acde<f gh i < j <3 <unfinished"
+
+
+def test_wrappers_do_not_grow_with_unique_ids():
+    whole = None
+    for n in range(200):
+        own = html_wrappers.wrapper_of(html_wrappers.parse(f"<body><div id=post-{n:x}zz{n}><p id=a{n}b>Story {n} goes on.</p></div><div class=t id=u{n}q>Tag</div></body>"))
+        whole = html_wrappers.merged(whole, own) if whole else own
+    import json
+
+    assert len(json.dumps(whole)) < 4000
+
+
+def test_rules_beyond_the_broadcast_size_meet_pages_in_a_dealt_join(spark, sf_dir, monkeypatch):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    before = {r.page_id: r.text for r in html_wrappers.main_texts(pages).collect()}
+    monkeypatch.setattr(html_wrappers, "RULES_CHARS", 10)
+    assert {r.page_id: r.text for r in html_wrappers.main_texts(pages).collect()} == before
+
+
+def test_sparse_turn_numbers_make_one_part(spark):
+    rows = [(1, 1, "user", "a"), (1, 5000, "user", "b"), (2, None, "user", "c"), (2, 7, "user", "d"), (3, 10**12, "user", "e")]
+    got = sorted((r.conv_id, r.part, r.n_parts, r.n_turns, r.rendered.count("<|end|>")) for r in chat_snapshots.formatted(chats(spark, rows)).collect())
+    assert got == [(1, 0, 1, 2, 2), (2, 0, 1, 2, 2), (3, 0, 1, 1, 1)]
