@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from forgemeter.llm import decontamination, language_id, line_dedup, mixing, simhash
-from forgemeter.llm.common import stored, table
+from forgemeter.llm.common import stored, table, unpacked
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,9 +15,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks of lines copied from an earlier document are cut; documents that lose all their lines go."""
-    cut = line_dedup.dedupe_lines(docs).filter("n_deleted = 0 OR n_deleted < n_lines")
-    columns = [cut["text"] if name == "text" else cut[name] for name in docs.columns]
-    return cut.select(*columns)
+    cut = line_dedup.cut_lines(docs).filter("n_deleted = 0 OR n_deleted < n_lines")
+    return cut.select(*unpacked(docs, "row", {"text": F.col("text")}))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
