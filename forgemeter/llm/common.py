@@ -27,13 +27,14 @@ def word_count(text: Column) -> Column:
 
 def whole_row(df: DataFrame, *without: str) -> Column:
     """All columns of a row (but those named) as one value, so that no name of a caller's column can clash with one used here."""
-    return F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in df.columns if c not in without])
+    fields = [F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(df.columns) if c not in without]
+    return F.struct(F.lit(0).alias("none"), *fields)
 
 
 def unpacked(df: DataFrame, row: str, own: dict[str, Column] | None = None) -> list[Column]:
     """The columns of a caller's frame ``df`` from a :func:`whole_row`, in order; those in ``own`` are taken from there."""
     own = own or {}
-    return [own[c].alias(c) if c in own else F.col(row).getField(c).alias(c) for c in df.columns]
+    return [own[c].alias(c) if c in own else F.col(row).getField(f"c{n}").alias(c) for n, c in enumerate(df.columns)]
 
 
 def id_order(doc_id: Column) -> Column:
