@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import parse_timestamp
 from .events import SUMS, moment
-from .normalize import has_key, records
+from .normalize import has_key, records, value
 
 REPOSITORY_COLUMNS = {
     "name": "string",
@@ -80,22 +80,22 @@ def repository_updates(rows: DataFrame, column: str = "json", order: str = "seq"
     )
 
     def named(key: str) -> Column:
-        value = F.struct(F.col(f"r.{key}").alias("v"))
-        return F.when(F.col(f"r.{key}").isNotNull() | has_key(key), value).alias(key)
+        found = value(key, REPOSITORY_COLUMNS[key])
+        return F.when(has_key(key), F.struct(found.alias("v"))).alias(key)
 
     def readable(key: str) -> Column:
-        value = parse_timestamp(F.col(f"r.{key}"), time_type)
-        return F.when(value.isNotNull(), F.struct(value.alias("v"))).alias(key)
+        time = parse_timestamp(value(key, "string"), time_type)
+        return F.when(time.isNotNull(), F.struct(time.alias("v"))).alias(key)
 
     def owner_of(key: str) -> Column:
-        return F.coalesce(f"r.{key}_id", f"r.{key}.id").alias(f"{key}_id")
+        return F.coalesce(value(f"{key}_id", "bigint"), value(f"{key}.id", "bigint")).alias(f"{key}_id")
 
     fields = [*REPOSITORY_COLUMNS, *REPOSITORY_TIMES]
     parsed = (
         records(rows, column, schema, order)
         .select(
             F.col(order).alias("_order"),
-            "r.id",
+            value("id", "bigint").alias("id"),
             *[named(key) for key in REPOSITORY_COLUMNS],
             *[readable(key) for key in REPOSITORY_TIMES],
             owner_of("owner"),
