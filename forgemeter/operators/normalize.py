@@ -82,38 +82,35 @@ def record_schema(fields) -> str:
 
 
 def records(df: DataFrame, column: str, schema: str, *kept: str) -> DataFrame:
-    """JSON objects as one VARIANT ``v``, parsed once a row however many fields are read from it.
+    """JSON objects as one typed struct ``r`` and their top-level ``keys``.
 
-    Text that is no JSON object has no row. VARIANT refuses an object that names a key twice; it is read
-    by ``schema`` instead, the last value of a key counts, and a null there is as good as an absent key.
+    The keys tell an absent value from a null one; text that is no JSON object has none.
     """
     text = F.col(column)
-    is_object = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
-    repeated = F.when(F.json_object_keys(text).isNotNull(), F.to_json(F.from_json(text, f"struct<{schema}>")))
-    parsed = F.when(is_object, F.coalesce(F.try_parse_json(text), F.try_parse_json(repeated)))
-    # Out of a generator the value is used as it is: neither the filter nor the fields parse again.
-    return df.select(*kept, F.explode(F.array(parsed)).alias("v")).where(F.col("v").isNotNull())
+    return df.select(
+        *kept,
+        text.alias("_json"),
+        F.json_object_keys(text).alias("keys"),
+        F.from_json(text, f"struct<{schema}>").alias("r"),
+    ).where(F.col("keys").isNotNull())
 
 
-def value(key: str, kind: str) -> Column:
-    """The value at a key, or at a path of keys; null where it is absent, null or not of that type."""
-    return F.try_variant_get("v", f"$.{key}", kind)
+def has_key(key: str) -> Column:
+    return F.array_contains("keys", key)
 
 
-def has_key(key: str) -> Column:
-    """Whether a key is there; its value may be null."""
-    return value(key, "variant").isNotNull()
+def _default(name: str, value: Column, absent: Column, kind: str, default) -> Column:
+    """The value; keys are only looked at where it is null."""
+    if default is None:
+        return value.alias(name)
+    return F.coalesce(value, F.when(absent, F.lit(default).cast(kind))).alias(name)
 
 
-def _fields(specs, parent: str = "") -> list[Column]:
-    """The columns of ``specs``; whether a key is absent is only looked at where its value is null."""
-    out = []
-    for name, key, kind, default in specs:
-        found = value(parent + key, kind)
-        if default is not None:
-            found = F.coalesce(found, F.when(~has_key(parent + key), F.lit(default).cast(kind)))
-        out.append(found.alias(name))
-    return out
+def _fields(specs) -> list[Column]:
+    return [
+        _default(name, F.col(f"r.{key}"), ~has_key(key), kind, default)
+        for name, key, kind, default in specs
+    ]
 
 
 def normalize_repository(df: DataFrame, column: str = "json") -> DataFrame:
@@ -126,12 +123,23 @@ def normalize_repository(df: DataFrame, column: str = "json") -> DataFrame:
         ]
     )
     no_topics = F.when(~has_key("topics"), F.array().cast("array<string>"))
+    owner_keys = F.json_object_keys(F.get_json_object("_json", "$.owner"))
+    owner = [
+        _default(
+            name,
+            F.col(f"r.owner.{key}"),
+            ~F.coalesce(F.array_contains(owner_keys, key), F.lit(False)),
+            kind,
+            default,
+        )
+        for name, key, kind, default in OWNER_FIELDS
+    ]
     return records(df, column, schema).select(
         *_fields(REPOSITORY_FIELDS),
-        value("license.key", "string").alias("license"),
-        F.coalesce(value("language", "string"), F.lit("")).alias("language"),
-        F.coalesce(value("topics", "array<string>"), no_topics).alias("topics"),
-        *_fields(OWNER_FIELDS, "owner."),
+        F.col("r.license.key").alias("license"),
+        F.coalesce("r.language", F.lit("")).alias("language"),
+        F.coalesce("r.topics", no_topics).alias("topics"),
+        *owner,
     )
 
 

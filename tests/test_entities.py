@@ -43,22 +43,6 @@ def test_absent_keys_take_defaults_and_nulls_stay(spark):
     assert (three["url"], three["api_url"], three["is_fork"], three["license"], three["owner_url"]) == ("h", "u", True, "mit", "oh")
 
 
-def test_records_are_parsed_once(spark):
-    rows = json_rows(spark, {"id": 1})
-    plan = J.normalize_repository(rows)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 2  # the text, and the repaired text of an object that names a key twice
-    assert plan.count("from_json") <= 1 and "get_json_object" not in plan
-
-
-def test_every_json_object_is_a_record(spark):
-    twice = '{"id": 1, "id": 2, "name": "b", "owner": {"id": 3, "login": "x", "login": "y"}}'
-    rows = json_rows(spark, twice, ' \t\n{"id": 4, "size": "9", "homepage": {"b": [1]}}', "{}", '{"id": 5,', '"{}"', "", None)
-    found = {r["id"]: r for r in J.normalize_repository(rows).collect()}
-    assert set(found) == {2, 4, None}
-    assert (found[2]["name"], found[2]["owner_login"], found[2]["owner_type"], found[2]["size"]) == ("b", "y", "User", 0)
-    assert (found[4]["size"], found[4]["homepage"]) == (9, '{"b":[1]}')
-
-
 def test_account_defaults(spark):
     rows = json_rows(spark, {"id": 1, "login": "a", "email": None})
     user = J.normalize_user(rows).first()
