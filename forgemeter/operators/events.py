@@ -11,6 +11,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .skew import dealt
+
 ORG = "repo.organization.login"
 STATS_TYPES = ["ForkEvent", "WatchEvent", "PushEvent"]
 
@@ -51,15 +53,14 @@ def _is(kind: str) -> Column:
     return F.col("type") == kind
 
 
-def org_yearly_stats(events: DataFrame, start_year: int = 2015, end_year: int = 2023) -> DataFrame:
-    """Per year and organization: repositories, forks, stars and contributors."""
-    rows = _of_orgs(in_years(events, start_year, end_year)).where(F.col("type").isin(STATS_TYPES))
-    return rows.groupBy(_year(), _login()).agg(
-        F.count_distinct("repo.id").alias("number_repos"),
-        F.count_if(_is("ForkEvent")).alias("forks"),
-        F.count_if(_is("WatchEvent")).alias("stars"),
-        F.count_distinct("actor.id").alias("number_contributors"),
-    )
+def org_yearly_stats(
+    events: DataFrame, start_year: int = 2015, end_year: int = 2023, tasks: int | None = None
+) -> DataFrame:
+    """Per year and organization: repositories, forks, stars and contributors.
+
+    ``tasks``: see :func:`merged_parts`; for tables that outgrow the session's shuffle partitions.
+    """
+    return merged_parts(org_yearly_parts(events, start_year, end_year), tasks)
 
 
 def org_yearly_parts(events: DataFrame, start_year: int = 2015, end_year: int = 2023) -> DataFrame:
@@ -77,13 +78,23 @@ def fewer_parts(parts: DataFrame) -> DataFrame:
     )
 
 
-def merged_parts(parts: DataFrame) -> DataFrame:
-    """The yearly statistics of all events that the parts were made from."""
-    return parts.groupBy("year", "organization_login").agg(
-        F.count_distinct("repo_id").alias("number_repos"),
-        F.sum("forks").alias("forks"),
-        F.sum("stars").alias("stars"),
-        F.count_distinct("actor_id").alias("number_contributors"),
+def merged_parts(parts: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The yearly statistics of all events that the parts were made from.
+
+    Every distinct id is one row of its (year, organization); the two kinds share one shuffle, into ``tasks`` tasks where that is given.
+    """
+    group = ["year", "organization_login"]
+    none = F.lit(0).cast("bigint")
+    kinds = F.array(
+        F.struct(F.lit(True).alias("is_repo"), F.col("repo_id").alias("id"), "forks", "stars"),
+        F.struct(F.lit(False).alias("is_repo"), F.col("actor_id").alias("id"), none.alias("forks"), none.alias("stars")),
+    )
+    ids = dealt(parts.select(*group, F.inline(kinds)), tasks, *group, "is_repo", "id")
+    sums = [F.sum(name).alias(name) for name in ("forks", "stars")]
+    return ids.groupBy(*group, "is_repo", "id").agg(*sums).groupBy(*group).agg(
+        F.count(F.when(F.col("is_repo"), F.col("id"))).alias("number_repos"),
+        *sums,
+        F.count(F.when(~F.col("is_repo"), F.col("id"))).alias("number_contributors"),
     )
 
 
@@ -159,10 +170,14 @@ def backfill_commits(stats: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def organization_statistics(
-    events: DataFrame, organizations: DataFrame, start_year: int = 2015, end_year: int = 2023
+    events: DataFrame,
+    organizations: DataFrame,
+    start_year: int = 2015,
+    end_year: int = 2023,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The stored yearly table: statistics with commits and organization attributes."""
-    stats = org_yearly_stats(events, start_year, end_year)
+    stats = org_yearly_stats(events, start_year, end_year, tasks)
     commits = org_yearly_commits(events, start_year, end_year)
     return enrich_with_organizations(backfill_commits(stats, commits), organizations).select(
         "year",

@@ -1,4 +1,4 @@
-"""Joins with heavy keys, and the first rows of a table, without a task that gets much more than its share.
+"""Joins with heavy keys, the first rows of a table and shuffles by size, without a task that gets much more than its share.
 
 Adaptive execution splits a skewed partition where a join allows it; these operations do not depend on it.
 """
@@ -12,6 +12,24 @@ from ..workspace import stored
 #: A key is heavy from this part of a task's share of the rows on, and is cut into pieces of that size.
 PIECES = 32
 
+#: Rows of a shuffle by size that one task gets, and the rows from which on a shuffle is by size.
+TASK_ROWS, MANY_ROWS = 250_000, 1_000_000
+
+
+def tasks_for(table: DataFrame) -> int | None:
+    """How many tasks a shuffle of a table's rows is cut into; None for few rows, which are left to the session's setting.
+
+    Counted, which Spark does from the footers of a stored table. The session's number of partitions is fixed and
+    adaptive execution only merges them, up to one a core, so what a task holds would grow with the table.
+    """
+    rows = table.count()
+    return None if rows < MANY_ROWS else -(-rows // TASK_ROWS)
+
+
+def dealt(rows: DataFrame, tasks: int | None, *keys: Column | str) -> DataFrame:
+    """The rows by their keys in so many tasks; as they are for None, where the next operation shuffles them by the session's setting."""
+    return rows if tasks is None else rows.repartition(tasks, *keys)
+
 
 def heavy_keys(rows: DataFrame, key: str, tasks: int | None = None, pieces: int = PIECES) -> DataFrame:
     """(key, n_pieces) of the keys with more than one piece.

@@ -95,7 +95,7 @@ def repo_metrics(spark, sf_dir):
     f"SELECT year, organization_login, {STAT_COLUMNS} FROM org_stats",
 )
 def org_yearly_stats(spark, sf_dir):
-    return E.org_yearly_stats(S.archive_events(spark, sf_dir), *YEARS)
+    return E.org_yearly_stats(S.archive_events(spark, sf_dir), *YEARS, S.archive_tasks(spark, sf_dir))
 
 
 @check("org_yearly_commits", "SELECT * FROM org_commits")
@@ -148,7 +148,7 @@ def commit_backfill(spark, sf_dir):
 
 def organization_statistics(spark, sf_dir):
     orgs = S.with_countries(S.organizations(spark, sf_dir))
-    return E.organization_statistics(S.archive_events(spark, sf_dir), orgs, *YEARS)
+    return E.organization_statistics(S.archive_events(spark, sf_dir), orgs, *YEARS, S.archive_tasks(spark, sf_dir))
 
 
 ORG_YEARLY = """year, organization_id, location, country_code, region, forks, stars, number_repos,

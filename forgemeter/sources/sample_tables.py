@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import geo
+from ..operators.skew import dealt, tasks_for
 
 # The location text of each nation key.
 LOCATIONS = [
@@ -92,12 +93,19 @@ def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive_tasks(spark: SparkSession, sf_dir: str) -> int | None:
+    """How many tasks a shuffle of the archive's events takes."""
+    return tasks_for(table(spark, sf_dir, "lineitem"))
+
+
 def archive_events(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     """The multi-year event archive in its nested form; ``lines`` may be a stream.
 
     Owner and organization names come by equi-joins without hints: both sides grow with the data,
-    so Spark decides from their sizes whether one fits a broadcast.
+    so Spark decides from their sizes whether one fits a broadcast. The join along the orders comes last, and is
+    dealt out by the number of events: what follows it finds a repository's events in one task, of bounded size.
     """
+    tasks = archive_tasks(spark, sf_dir)
     if lines is None:
         lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -113,10 +121,9 @@ def archive_events(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
         lambda i: F.struct(F.concat(F.col("l_partkey"), F.lit("-"), i).alias("sha")),
     )
     owned = orders.join(people, F.col("o_custkey") == F.col("c_custkey"))
-    flat = (
-        lines.withColumn("type", kind)
-        .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(orgs, F.col("l_suppkey") == F.col("s_suppkey"))
+    named = lines.withColumn("type", kind).join(orgs, F.col("l_suppkey") == F.col("s_suppkey"))
+    flat = dealt(named, tasks, "l_orderkey").join(
+        dealt(owned, tasks, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     # Structs are built in a step of their own, so that a query reading single fields of them
     # never builds the rest.
