@@ -105,9 +105,9 @@ def archive_events(spark: SparkSession, sf_dir: str, lines: DataFrame | None = N
     so Spark decides from their sizes whether one fits a broadcast. The join along the orders comes last, and is
     dealt out by the number of events: what follows it finds a repository's events in one task, of bounded size.
     """
-    tasks = archive_tasks(spark, sf_dir)
+    tasks = None  # a batch of a stream is a part of the table, and each task writes a file a year
     if lines is None:
-        lines = table(spark, sf_dir, "lineitem")
+        lines, tasks = table(spark, sf_dir, "lineitem"), archive_tasks(spark, sf_dir)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     orgs = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
