@@ -98,16 +98,23 @@ def merged_parts(parts: DataFrame, tasks: int | None = None) -> DataFrame:
     )
 
 
-def org_yearly_commits(events: DataFrame, start_year: int = 2015, end_year: int = 2023) -> DataFrame:
-    """Per year and organization: distinct commit hashes of pushes."""
+def org_yearly_commits(
+    events: DataFrame, start_year: int = 2015, end_year: int = 2023, tasks: int | None = None
+) -> DataFrame:
+    """Per year and organization: distinct commit hashes of pushes.
+
+    With ``tasks`` the hashes of each repository are made distinct first, which shuffles nothing where the events are dealt out by
+    repository, and those that are left are dealt out into so many tasks.
+    """
     pushes = _of_orgs(in_years(events, start_year, end_year)).where(
         _is("PushEvent") & F.col("payload.commits").isNotNull()
     )
-    return (
-        pushes.select(_year(), _login(), F.explode_outer("payload.commits.sha").alias("sha"))
-        .groupBy("year", "organization_login")
-        .agg(F.count_distinct("sha").alias("number_commits"))
-    )
+    group = ["year", "organization_login"]
+    hashes = pushes.select(_year(), _login(), F.col("repo.id").alias("repo_id"), F.explode_outer("payload.commits.sha").alias("sha"))
+    if tasks is None:
+        return hashes.groupBy(*group).agg(F.count_distinct("sha").alias("number_commits"))
+    distinct = dealt(hashes.distinct().select(*group, "sha"), tasks, *group, "sha").distinct()
+    return distinct.groupBy(*group).agg(F.count("sha").alias("number_commits"))
 
 
 PUSH_METRICS = ["number_repos", "forks", "stars", "contributors", "number_commits"]
@@ -178,7 +185,7 @@ def organization_statistics(
 ) -> DataFrame:
     """The stored yearly table: statistics with commits and organization attributes."""
     stats = org_yearly_stats(events, start_year, end_year, tasks)
-    commits = org_yearly_commits(events, start_year, end_year)
+    commits = org_yearly_commits(events, start_year, end_year, tasks)
     return enrich_with_organizations(backfill_commits(stats, commits), organizations).select(
         "year",
         "organization_id",

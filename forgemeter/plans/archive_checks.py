@@ -100,7 +100,7 @@ def org_yearly_stats(spark, sf_dir):
 
 @check("org_yearly_commits", "SELECT * FROM org_commits")
 def org_yearly_commits(spark, sf_dir):
-    return E.org_yearly_commits(S.archive_events(spark, sf_dir), *YEARS)
+    return E.org_yearly_commits(S.archive_events(spark, sf_dir), *YEARS, S.archive_tasks(spark, sf_dir))
 
 
 @check("org_yearly_stats_push", "SELECT * FROM org_push_stats")

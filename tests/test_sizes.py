@@ -66,3 +66,23 @@ def test_rows_without_an_id_count_but_are_no_id(spark):
     expected = [(2020, "a", 1, 6, 8, 1), (2020, "b", 0, 1, 0, 0), (2020, "c", 1, 0, 0, 1)]
     for tasks in (None, 3):
         assert sorted(map(tuple, E.merged_parts(parts, tasks).collect())) == expected
+
+
+def test_commit_hashes_are_dealt_by_size(spark, sf_dir, two_partitions):
+    tasks = S.archive_tasks(spark, sf_dir)
+    for query, shuffles in ((C.org_yearly_commits, 3), (C.organization_statistics, 6)):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f", {tasks}), REPARTITION_BY_NUM") == shuffles  # the join's two, and the hashes or ids of each
+    got = C.org_yearly_commits(spark, sf_dir)
+    assert difference(spark_rows(got), sql_rows(connect(sf_dir), SQL["org_yearly_commits"])) is None
+
+
+def test_commit_hashes_of_several_repositories_and_none(spark):
+    """A hash counts once an organization; pushes without hashes or with unknown ones count none."""
+    pushes = [("a", 1, ["x", "y", "x"]), ("a", 2, ["x"]), ("a", None, ["x", "z"]), ("b", 3, []), ("b", 3, None), ("c", 4, [None, "x"]), (None, 5, ["x"])]
+    rows = spark.createDataFrame(pushes, "org string, repo long, shas array<string>").selectExpr(
+        "'PushEvent' AS type", "timestamp'2020-05-01' AS created_at", "struct(repo AS id, struct(org AS login) AS organization) AS repo",
+        "struct(transform(shas, s -> struct(s AS sha)) AS commits) AS payload",
+    )
+    for tasks in (None, 3):
+        assert sorted(map(tuple, E.org_yearly_commits(rows, tasks=tasks).collect())) == [(2020, "a", 3), (2020, "b", 0), (2020, "c", 1)]
