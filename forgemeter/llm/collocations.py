@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -46,6 +47,7 @@ _BREAK = b"\xff"  # no byte of UTF-8; stands between pieces
 _CUTS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n" * 10 + b" ")
 _ROW_BITS = 15  # a row of the filter as Spark builds it: 2^15 bits
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_FIRST_BYTES = np.array([2 ** (8 * n) - 1 for n in range(9)], np.uint64)
 _SALTS = [((n + 1) * 0xD1342543DE82EF95) % 2**64 for n in range(64)]  # one a shard
 
 _MINED = "lang string, part long, phrase string, key long, n long"
@@ -57,10 +59,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = len(self)
-        return self[word]
+class Words:
+    """The words of a stretch in order, breaks among them, as numbers of a vocabulary; number 0 is the break."""
+
+    def __init__(self, raw: bytes):
+        tokens = pc.split_pattern(pa.array([_BREAK + b"  " + raw], pa.binary()), " ").values
+        coded = tokens.dictionary_encode()  # a break is number 0, and what lies between two spaces number 1
+        ids = coded.indices.to_numpy()[2:]
+        ids = ids[ids != 1].astype(np.int64)
+        self.ids = ids - (ids > 1)
+        self.vocabulary = pa.concat_arrays([coded.dictionary.slice(0, 1), coded.dictionary.slice(2)])
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def __getitem__(self, at: slice) -> list[bytes]:
+        return self.vocabulary.take(pa.array(self.ids[at])).to_pylist()
+
+    def phrases(self, *numbers: np.ndarray) -> pa.Array:
+        """Words by their numbers, one of each argument, joined by spaces."""
+        words = [self.vocabulary.take(pa.array(n)) for n in numbers]
+        return pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())).cast(pa.string())
 
 
 class Filter:
@@ -102,10 +121,20 @@ def part_number(lang: str, shard: int) -> int:
     return number - 2**64 if number >= 2**63 else number
 
 
-def word_keys(vocabulary: _Words, lang: str) -> np.ndarray:
-    """Hashes of the chunk's words, told apart by language."""
-    seed = xxhash.xxh3_64_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in vocabulary), np.uint64, len(vocabulary))
+def word_keys(vocabulary: pa.Array, lang: str) -> np.ndarray:
+    """Hashes of the chunk's words, told apart by language: eight bytes of every word are mixed in at a time."""
+    _, offsets, data = vocabulary.buffers()
+    ends = np.frombuffer(offsets, np.int32)[vocabulary.offset : vocabulary.offset + len(vocabulary) + 1].astype(np.int64)
+    at, left, rows = ends[:-1], np.diff(ends), np.arange(len(vocabulary))
+    raw = np.frombuffer((b"" if data is None else data.to_pybytes()) + bytes(8), np.uint8)
+    eight = np.lib.stride_tricks.sliding_window_view(raw, 8)
+    keys = _mixed(np.uint64(xxhash.xxh3_64_intdigest(lang.encode())) ^ (left.astype(np.uint64) * _MIX))
+    while len(rows):
+        word = np.ascontiguousarray(eight[at]).view("<u8")[:, 0] & _FIRST_BYTES[np.minimum(left, 8)]
+        keys[rows] = _mixed((keys[rows] ^ word) * _MIX)
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    return keys
 
 
 def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -124,50 +153,46 @@ def _salted(key: Column, part: Column) -> Column:
 class Chunk:
     """Words of one language and shard: numbers of the words, keys, and which places start a pair or a triple."""
 
-    def __init__(self, lang: str, shard: int, words: list[bytes], own: int):
+    def __init__(self, lang: str, shard: int, words: Words, own: int):
         self.lang, self.part = lang, part_number(lang, shard)
-        vocabulary = _Words()
-        vocabulary[_BREAK]
-        self.ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
-        self.words = list(vocabulary)
-        self.keys = word_keys(vocabulary, lang)
+        self.words, self.ids, self.own = words, words.ids, own
+        self.size = len(words.vocabulary)
+        if self.size >= 1 << 21:
+            raise ValueError("a triple of word numbers must fit 63 bits: take a smaller CHUNK")
+        self.keys = word_keys(words.vocabulary, lang)
         is_word = self.ids > 0
         self.pair = is_word[:-1] & is_word[1:]
         self.triple = self.pair[:-1] & self.pair[1:]
         self.pair[own:] = False
         self.triple[own:] = False
-        self.own = own
-
-    def pair_codes(self) -> np.ndarray:
-        return self.ids[:-1] * len(self.words) + self.ids[1:]
-
-    def pairs(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs at the places: left and right word, count."""
-        codes, n = np.unique(self.pair_codes()[at], return_counts=True)
-        return codes // len(self.words), codes % len(self.words), n
-
-    def frequent_pairs(self, frequent: Filter) -> np.ndarray:
-        """Which neighbours are a pair that the filter of this shard's pairs has."""
-        codes, back = np.unique(self.pair_codes(), return_inverse=True)
-        keys = pair_keys(self.keys[codes // len(self.words)], self.keys[codes % len(self.words)])
-        return frequent.has(salted(keys, self.part))[back]
-
-    def triples(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct triples at the places: the three words, count."""
-        codes, numbers = np.unique(self.pair_codes(), return_inverse=True)
-        codes3, n = np.unique(numbers[:-1][at] * len(self.words) + self.ids[2:][at], return_counts=True)
-        first = codes[codes3 // len(self.words)]
-        return first // len(self.words), first % len(self.words), codes3 % len(self.words), n
-
 
-def _rows(n: np.ndarray, lang: str | None = None, part: int | None = None, phrases: list[bytes] | None = None, keys: np.ndarray | None = None) -> pa.RecordBatch:
+    def pair_places(self) -> np.ndarray:
+        """The keys of all neighbours."""
+        keys = self.keys[self.ids]
+        return pair_keys(keys[:-1], keys[1:])
+
+    def distinct(self, at: np.ndarray, length: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Distinct phrases of so many words that start at the places: the numbers of their words, count."""
+        places = np.flatnonzero(at)
+        codes = self.ids[places]
+        for n in range(1, length):
+            codes = codes * self.size + self.ids[places + n]
+        codes, count = np.unique(codes, return_counts=True)
+        words = []
+        for _ in range(length):
+            codes, last = np.divmod(codes, self.size)
+            words.insert(0, last)
+        return words, count
+
+
+def _rows(n: np.ndarray, lang: str | None = None, part: int | None = None, phrases: pa.Array | None = None, keys: np.ndarray | None = None) -> pa.RecordBatch:
     def same(value, kind: pa.DataType) -> pa.Array:
         return pa.nulls(len(n), kind) if value is None else pa.repeat(pa.scalar(value, kind), len(n))
 
     columns = [
         same(lang, pa.string()),
         same(part, pa.int64()),
-        pa.nulls(len(n), pa.string()) if phrases is None else pa.array([p.decode() for p in phrases], pa.string()),
+        pa.nulls(len(n), pa.string()) if phrases is None else phrases,
         pa.nulls(len(n), pa.int64()) if keys is None else pa.array(keys.view(np.int64)),
         pa.array(n.astype(np.int64)),
     ]
@@ -175,51 +200,51 @@ def _rows(n: np.ndarray, lang: str | None = None, part: int | None = None, phras
 
 
 def mine_words(chunk: Chunk) -> Iterator[pa.RecordBatch]:
-    n = np.bincount(chunk.ids[: chunk.own], minlength=len(chunk.words))[1:]
+    n = np.bincount(chunk.ids[: chunk.own], minlength=chunk.size)
+    n[0] = 0
     seen = np.flatnonzero(n)
-    yield _rows(n[seen], chunk.lang, chunk.part, [chunk.words[i + 1] for i in seen], chunk.keys[1:][seen])
+    yield _rows(n[seen], chunk.lang, chunk.part, chunk.words.phrases(seen), chunk.keys[seen])
 
 
 def mine_pairs(chunk: Chunk, frequent_words: Filter) -> Iterator[pa.RecordBatch]:
     """Pairs whose words are both frequent in the shard, by their hashes."""
     frequent = frequent_words.has(salted(chunk.keys, chunk.part))[chunk.ids]
-    left, right, n = chunk.pairs(chunk.pair & frequent[:-1] & frequent[1:])
+    (left, right), n = chunk.distinct(chunk.pair & frequent[:-1] & frequent[1:], 2)
     yield _rows(n, part=chunk.part, keys=pair_keys(chunk.keys[left], chunk.keys[right]))
 
 
 def mine_triples(chunk: Chunk, frequent_pairs: Filter, candidates: Filter) -> Iterator[pa.RecordBatch]:
     """Counts of candidate pairs; triples whose pairs are both frequent in the shard, by their hashes."""
-    left, right, n = chunk.pairs(chunk.pair)
-    known = candidates.has(pair_keys(chunk.keys[left], chunk.keys[right]))
-    yield _rows(n[known], chunk.lang, phrases=[chunk.words[a] + b" " + chunk.words[b] for a, b in zip(left[known], right[known])])
-    frequent = chunk.frequent_pairs(frequent_pairs)
-    a, b, c, n = chunk.triples(chunk.triple & frequent[:-1] & frequent[1:])
+    places = chunk.pair_places()
+    words, n = chunk.distinct(chunk.pair & candidates.has(places), 2)
+    yield _rows(n, chunk.lang, phrases=chunk.words.phrases(*words))
+    frequent = frequent_pairs.has(salted(places, chunk.part))
+    (a, b, c), n = chunk.distinct(chunk.triple & frequent[:-1] & frequent[1:], 3)
     yield _rows(n, part=chunk.part, keys=pair_keys(pair_keys(chunk.keys[a], chunk.keys[b]), chunk.keys[c]))
 
 
 def count_triples(chunk: Chunk, candidates: Filter) -> Iterator[pa.RecordBatch]:
-    a, b, c, n = chunk.triples(chunk.triple)
-    known = candidates.has(pair_keys(pair_keys(chunk.keys[a], chunk.keys[b]), chunk.keys[c]))
-    phrases = [b" ".join((chunk.words[x], chunk.words[y], chunk.words[z])) for x, y, z in zip(a[known], b[known], c[known])]
-    yield _rows(n[known], chunk.lang, phrases=phrases)
+    keys = pair_keys(chunk.pair_places()[:-1], chunk.keys[chunk.ids[2:]])
+    words, n = chunk.distinct(chunk.triple & candidates.has(keys), 3)
+    yield _rows(n, chunk.lang, phrases=chunk.words.phrases(*words))
 
 
-def stretches(texts: list[str]) -> Iterator[tuple[list[bytes], int]]:
+def stretches(texts: list[str]) -> Iterator[tuple[Words, int]]:
     """Words of the texts in order, a break after every piece, in stretches of bounded length.
 
     Phrases begin in the first ``own`` words of a stretch; the two words after them are those that the next one
     begins with, so a phrase across an edge is found once.
     """
     raw = ("\n".join(texts).encode() + b"\n").lower().translate(_CUTS).replace(b"\n", b" " + _BREAK + b" ")
-    carried: list[bytes] = []
+    carried = b""
     start = 0
     while start < len(raw):
         stop = start + CHUNK
         stop = (raw.find(b" ", stop) if stop < len(raw) else len(raw)) + 1 or len(raw)
-        words = carried + raw[start:stop].split()
+        words = Words(carried + raw[start:stop])
         start = stop
         own = len(words) if start >= len(raw) else max(0, len(words) - 2)
-        carried = words[own:]
+        carried = b" ".join(words[own:]) + b" "
         yield words, own
 
 

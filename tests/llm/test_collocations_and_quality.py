@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from forgemeter.llm import collocations, quality_gam, queries
@@ -98,6 +99,39 @@ def test_every_frequent_phrase_is_found_by_a_shard(spark):
     assert {r[2] for r in got(frame(spark, rows))} == {f"pair{p} tail{p} end{p}" for p in range(40)}
 
 
+def test_words_of_a_stretch_are_numbered_without_a_python_object_each():
+    raw = "b  a \u00e9\u00e9 b".encode() + b" \xff  a \xff b " + "x" .encode() * 40 + b" "
+    words = collocations.Words(raw)
+    assert words[:] == raw.split() and len(words) == len(raw.split()) and words[2:4] == ["\u00e9\u00e9".encode(), b"b"]
+    assert words.vocabulary.to_pylist() == [b"\xff", b"b", b"a", "\u00e9\u00e9".encode(), b"x" * 40]
+    assert words.ids.tolist() == [1, 2, 3, 1, 0, 2, 0, 1, 4]
+    assert words.phrases(np.array([1, 3]), np.array([2, 1])).to_pylist() == ["b a", "\u00e9\u00e9 b"]
+    assert collocations.Words(b"")[:] == [] and collocations.Words(b"  ")[:] == []
+
+
+def test_a_word_has_one_key_in_every_vocabulary():
+    rng = random.Random(5)
+    known = [bytes(rng.choice(b"ab\x00z") for _ in range(rng.randint(1, 33))) for _ in range(3000)]
+    known = list(dict.fromkeys(known + [b"a", b"a\x00", b"a" * 8, b"a" * 8 + b"\x00", b"a" * 9, b"a" * 16, b"a" * 17]))
+    keys = dict(zip(known, collocations.word_keys(pa.array(known, pa.binary()), "en").tolist()))
+    assert len(set(keys.values())) == len(known)
+    other = known[::-3]
+    assert collocations.word_keys(pa.array([b"first"] + other, pa.binary()).slice(1), "en").tolist() == [keys[w] for w in other]
+    assert not set(collocations.word_keys(pa.array(known, pa.binary()), "de").tolist()) & set(keys.values())
+
+
+def test_distinct_phrases_of_a_chunk_agree_with_plain_counts():
+    rng = random.Random(6)
+    for n in (0, 1, 2, 3, 400):
+        ((words, own),) = collocations.stretches([" ".join(rng.choice(["a", "b", "ccc", "d.", "e"]) for _ in range(n))])
+        plain = words[:]
+        chunk = collocations.Chunk("en", 1, words, own)
+        for length, at in ((2, chunk.pair), (3, chunk.triple)):
+            found, count = chunk.distinct(at, length)
+            spans = [tuple(plain[i : i + length]) for i in range(len(plain) - length + 1)]
+            assert dict(zip(words.phrases(*found).to_pylist(), count)) == Counter(b" ".join(x).decode() for x in spans if b"\xff" not in x)
+
+
 def test_scores_beyond_64_bits(spark):
     big = 3 * 10**12
     row = spark.createDataFrame([(big, big, big + 7), (big, 2 * big, 5 * big)], "a long, l long, r long")
