@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from compare import connect, difference, spark_rows, sql_rows
 from forgemeter.operators import events as E, skew
 from forgemeter.plans import archive_checks as C
-from forgemeter.plans.registry import SQL
+from forgemeter.plans.registry import QUERIES, SQL
 from forgemeter.sources import sample_tables as S
 
 
@@ -86,3 +86,17 @@ def test_commit_hashes_of_several_repositories_and_none(spark):
     )
     for tasks in (None, 3):
         assert sorted(map(tuple, E.org_yearly_commits(rows, tasks=tasks).collect())) == [(2020, "a", 3), (2020, "b", 0), (2020, "c", 1)]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "upsert_org_yearly_stats",
+    ],
+)
+def test_queries_on_the_yearly_table_deal_out_commit_hashes(spark, sf_dir, two_partitions, monkeypatch, name):
+    asked, plain = [], E.org_yearly_commits
+    monkeypatch.setattr(E, "org_yearly_commits", lambda events, *args: asked.append(args) or plain(events, *args))
+    got = QUERIES[name](spark, sf_dir)
+    assert asked == [(*C.YEARS, S.archive_tasks(spark, sf_dir))]
+    assert difference(spark_rows(got), sql_rows(connect(sf_dir), SQL[name])) is None
