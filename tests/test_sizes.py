@@ -92,6 +92,7 @@ def test_commit_hashes_of_several_repositories_and_none(spark):
     "name",
     [
         "upsert_org_yearly_stats",
+        "emerging_hubs",
     ],
 )
 def test_queries_on_the_yearly_table_deal_out_commit_hashes(spark, sf_dir, two_partitions, monkeypatch, name):
