@@ -93,6 +93,7 @@ def test_commit_hashes_of_several_repositories_and_none(spark):
     [
         "upsert_org_yearly_stats",
         "emerging_hubs",
+        "export_country_stats",
     ],
 )
 def test_queries_on_the_yearly_table_deal_out_commit_hashes(spark, sf_dir, two_partitions, monkeypatch, name):
