@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from compare import connect, difference, spark_rows, sql_rows
 from forgemeter.operators import events as E, skew
-from forgemeter.plans import archive_checks as C
+from forgemeter.plans import archive_checks as C, report_checks  # noqa: F401 (registers its queries)
 from forgemeter.plans.registry import QUERIES, SQL
 from forgemeter.sources import sample_tables as S
 
